@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 
 # The characters a Unicode-aware strip removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "    　"
-)
+WHITESPACE = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]))
 _SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
@@ -59,7 +58,7 @@ def slug(text: Column) -> Column:
 
 def split_list(text: Column, delimiter: str = ",") -> Column:
     """Trimmed, non-blank members of a delimited cell, in order."""
-    parts = F.transform(F.split(text, f"\\Q{delimiter}\\E"), strip)
+    parts = F.transform(F.split(text, f"\\Q{delimiter}\\E"), lambda part: strip(part))
     return F.filter(parts, lambda part: part != "")
 
 
@@ -91,4 +90,4 @@ def clean_cell(cell: Column) -> Column:
 
 def lines_of(text: Column) -> Column:
     """Trimmed lines of a page text."""
-    return F.transform(F.split(text, "\n"), strip)
+    return F.transform(F.split(text, "\n"), lambda line: strip(line))
