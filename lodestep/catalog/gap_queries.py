@@ -113,12 +113,12 @@ def _sql_any(words: list[str]) -> str:
 @query("ranked_gaps", f"""{WITH_COUNTS}, {CTE_SERIES},
 slopes AS (SELECT skill_id AS brand, regr_slope(usage, year) AS slope FROM series GROUP BY skill_id),
 taught AS (SELECT skill_idx, max(rank) AS rank FROM ({inputs.plain(_TAUGHT)}) GROUP BY skill_idx),
-wanted AS (SELECT skill_idx AS skill_id, employers AS distinct_employers, CASE WHEN {_sql_any(inputs.fixed.APPLY_LABELS)} THEN 'apply'
+asked AS (SELECT skill_idx AS skill_id, employers AS distinct_employers, CASE WHEN {_sql_any(inputs.fixed.APPLY_LABELS)} THEN 'apply'
   WHEN {_sql_any(inputs.fixed.BUILD_LABELS)} THEN 'build' WHEN junior_share >= 0.35 THEN 'apply' WHEN core_builder_share >= 0.25 THEN 'build' ELSE 'apply' END AS demand_depth
   FROM verified JOIN dictionary USING (skill_idx)),
 gaps AS (SELECT w.*, CASE t.rank WHEN 0 THEN 'know' WHEN 1 THEN 'apply' WHEN 2 THEN 'build' END AS taught_depth,
   CASE demand_depth WHEN 'apply' THEN 1 ELSE 2 END - coalesce(t.rank, -1) AS depth_gap, {_sql_direction("slope")} AS trend
-  FROM wanted w LEFT JOIN taught t ON skill_idx = skill_id JOIN part ON p_partkey = skill_id JOIN slopes ON brand = p_brand),
+  FROM asked w LEFT JOIN taught t ON skill_idx = skill_id JOIN part ON p_partkey = skill_id JOIN slopes ON brand = p_brand),
 scaled AS (SELECT *, min(depth_gap) OVER () AS g0, max(depth_gap) OVER () AS g1, min(distinct_employers) OVER () AS e0, max(distinct_employers) OVER () AS e1 FROM gaps)
 SELECT skill_id, distinct_employers, demand_depth, taught_depth, depth_gap, trend, round(0.5 * coalesce((depth_gap - g0) / nullif(CAST(g1 - g0 AS double), 0), 0)
   + 0.3 * coalesce((distinct_employers - e0) / nullif(CAST(e1 - e0 AS double), 0), 0)

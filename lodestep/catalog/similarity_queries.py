@@ -39,9 +39,9 @@ def nearest_with_margin(tables: Tables) -> DataFrame:
 
 
 @query("best_entry", f"""WITH {SCORES}
-SELECT vec_id, CAST(entry_id AS bigint) AS entry_id, round(first, 4) AS similarity FROM best WHERE first >= 0.6""")
+SELECT vec_id, CAST(entry_id AS bigint) AS entry_id, round(first, 4) AS similarity FROM best WHERE first >= 0.3""")
 def best_entry(tables: Tables) -> DataFrame:
-    found = nearest.best_entry(vectors(tables), centres(tables))
+    found = nearest.best_entry(vectors(tables), centres(tables), threshold=0.3)
     return found.select(F.col("query_id").alias("vec_id"), "entry_id", F.round("similarity", 4).alias("similarity"))
 
 

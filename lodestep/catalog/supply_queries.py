@@ -14,6 +14,7 @@ from lodestep.functions.syllabus import split_topics
 from lodestep.functions.taxonomy import RAW_MARK, TAXONOMY, Entry, entry_id, kept_entries
 from lodestep.operators import chunks, rollup, tagging
 from lodestep.plans import supply_report as plan
+from lodestep.session import cut_lineage
 
 # Marks that occur in the conversations.
 ON, OFF = ["the ", "eau"], ["of", "que "]
@@ -261,7 +262,8 @@ summary AS (SELECT skill_id, any_value(category) AS category, CASE max(rank) WHE
 @query("syllabus_rollup", f"""WITH {CTE_ROLLUP}
 SELECT s.*, n_sources, sources, evidence FROM summary s JOIN listed USING (skill_id) JOIN fragments USING (skill_id)""")
 def syllabus_rollup(tables: Tables) -> DataFrame:
-    records = rollup.supply_records(plan.topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY))
+    evidence = cut_lineage(plan.topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY))
+    records = rollup.supply_records(evidence)
     return records.select(
         "skill_id", "category", "depth", "original_topic", "verb", "unit", "hours", "source", "n_sources",
         F.array_join("sources", ",").alias("sources"), F.array_join("evidence", " / ").alias("evidence"))

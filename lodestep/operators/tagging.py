@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.depth import inferred_depth
 from lodestep.functions.syllabus import split_topics
-from lodestep.functions.taxonomy import TAXONOMY, Entry, entry_id, entry_pattern
-from lodestep.functions.text import ignore_case
+from lodestep.functions.taxonomy import TAXONOMY, Entry, entry_id, entry_pattern, folded, holds_entry
 from lodestep.operators.nearest import best_entry
 
 
@@ -35,23 +34,23 @@ def tagged_chunks(chunks: DataFrame, taxonomy: list[Entry] = TAXONOMY, text: str
 
     Patterns are literals: each compiles once per task, and no join is involved.
     """
-    whole = F.col(text)
-
     def hit(number: int, entry: Entry) -> Column:
-        pattern = ignore_case(entry_pattern(entry))
-        own = F.get(F.filter("fragments", lambda part: part.rlike(pattern)), F.lit(0))
-        return F.when(whole.rlike(pattern), F.struct(
-            F.lit(number).alias("skill_no"), F.coalesce(own, whole).alias("fragment")))
+        own = F.get(F.filter("fragments", lambda part: folded(part).rlike(entry_pattern(entry))), F.lit(0))
+        return F.when(holds_entry(F.col("_low"), entry), F.struct(
+            F.lit(number).alias("skill_no"), F.coalesce(own, F.col(text)).alias("fragment")))
 
-    split = chunks.withColumn("fragments", split_topics(whole))
-    return split.withColumn("hits", F.array_compact(F.array(*[hit(i, e) for i, e in enumerate(taxonomy)])))
+    split = chunks.withColumns({"fragments": split_topics(F.col(text)), "_low": folded(F.col(text))})
+    hits = F.array_compact(F.array(*[hit(i, e) for i, e in enumerate(taxonomy)]))
+    return split.withColumn("hits", hits).drop("_low")
 
 
 def alias_evidence(tagged: DataFrame, taxonomy: list[Entry] = TAXONOMY,
                    confidence: float = fixed.ALIAS_CONFIDENCE) -> DataFrame:
     """One evidence row per chunk and entry matched; ``ord`` puts them in reading order."""
     entry = F.element_at(_literal_entries(taxonomy), F.col("_hit.skill_no") + 1)
-    return tagged.withColumn("_hit", F.explode("hits")).select(
+    # explode() would make Catalyst test the hits once more to drop empty ones beforehand.
+    found = tagged.withColumn("_hit", F.explode_outer("hits")).filter(F.col("_hit").isNotNull())
+    return found.select(
         entry["skill_id"].alias("skill_id"), entry["skill_name"].alias("skill_name"),
         entry["category"].alias("category"),
         F.lit(confidence).alias("confidence"), F.lit("alias").alias("match_type"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.taxonomy import TAXONOMY, Entry, kept_entries
 from lodestep.operators import chunks, dictionary, rollup, tagging
+from lodestep.session import cut_lineage
 
 
 def syllabus_chunks(pages: DataFrame, table_rows: DataFrame, external: DataFrame | None = None) -> DataFrame:
@@ -50,8 +51,12 @@ def linked_supply(records: DataFrame, entries: DataFrame, taxonomy: list[Entry]
 def supply_report(pages: DataFrame, table_rows: DataFrame, entries: DataFrame | None = None,
                   external: DataFrame | None = None, vectors: DataFrame | None = None,
                   entry_vectors: DataFrame | None = None, taxonomy: list[Entry] = TAXONOMY) -> DataFrame:
-    """Supply records; without a dictionary they keep their taxonomy ids."""
+    """Supply records; without a dictionary they keep their taxonomy ids.
+
+    Evidence is written once, as the rollup reads it several times and tagging is the costly part.
+    """
     taxonomy = kept_entries(taxonomy)
     topics = syllabus_chunks(pages, table_rows, external)
-    records = rollup.supply_records(topic_evidence(topics, vectors, entry_vectors, taxonomy))
+    evidence = cut_lineage(topic_evidence(topics, vectors, entry_vectors, taxonomy))
+    records = rollup.supply_records(evidence)
     return records if entries is None else linked_supply(records, entries, taxonomy)
