@@ -43,7 +43,7 @@ SELECT doc_id, {sql_norm("text")} AS norm_text,
 FROM documents""")
 def normalise_text(tables: Tables) -> DataFrame:
     body = F.col("text")
-    return tables.documents.select(
+    return tables.spread(tables.documents).select(
         "doc_id", text.norm(body).alias("norm_text"), text.strip_paren(body).alias("without_paren"),
         text.employer_key(body).alias("employer_key"), text.slug(body).alias("slug"))
 
@@ -202,15 +202,15 @@ def _sql_any(words: list[str]) -> str:
 @query("demand_records", f"""{WITH_COUNTS},
 labelled AS (SELECT verified.*, uri, label, CASE WHEN {_sql_any(fixed.RISING_LABELS)} THEN 'rising'
     WHEN {_sql_any(fixed.FADING_LABELS)} THEN 'fading' WHEN p_size % 2 = 0 THEN 'steady' END AS trend,
-  CASE WHEN p_size % 2 = 0 THEN {fixed.STEADY_MULTIPLIER} ELSE {fixed.RISING_MULTIPLIER} END AS multiplier
+  CASE WHEN p_size % 2 = 0 THEN {fixed.STEADY_MULTIPLIER}::double ELSE {fixed.RISING_MULTIPLIER} ::double END AS multiplier
   FROM verified JOIN dictionary USING (skill_idx) JOIN part ON p_partkey = skill_idx),
-estimated AS (SELECT *, CASE WHEN trend IS NOT NULL THEN CAST(round_even(CAST(employers * multiplier AS double), 0) AS int) END AS est FROM labelled)
+estimated AS (SELECT *, CASE WHEN trend IS NOT NULL THEN CAST(round_even(employers * multiplier, 0) AS int) END AS est FROM labelled)
 SELECT 'esco_' || substr(sha1(uri), 1, 16) AS skill_id, label AS skill_name, uri AS esco_uri,
   CAST(employers AS int) AS distinct_employers, CAST(postings AS int) AS postings,
   CASE WHEN {_sql_any(fixed.APPLY_LABELS)} THEN 'apply' WHEN {_sql_any(fixed.BUILD_LABELS)} THEN 'build'
     WHEN junior_share >= 0.35 THEN 'apply' WHEN core_builder_share >= 0.25 THEN 'build' ELSE 'apply' END AS demand_depth,
-  trend, est AS trend_2030_estimate, CAST(round_even(CAST(est * 0.85 AS double), 0) AS int) AS band_low,
-  CAST(round_even(CAST(est * 1.15 AS double), 0) AS int) AS band_high
+  trend, est AS trend_2030_estimate, CAST(round_even(est * CAST(0.85 AS double), 0) AS int) AS band_low,
+  CAST(round_even(est * CAST(1.15 AS double), 0) AS int) AS band_high
 FROM estimated""")
 def demand_records(tables: Tables) -> DataFrame:
     even = F.col("p_size") % 2 == 0
@@ -245,13 +245,13 @@ def near_duplicate_postings(tables: Tables) -> DataFrame:
 
 @query("near_duplicate_documents")
 def near_duplicate_documents(tables: Tables) -> DataFrame:
-    bodies = tables.documents.withColumn("body", text.norm(F.col("text")))
+    bodies = tables.spread(tables.documents).withColumn("body", text.norm(F.col("text")))
     return keep_first(bodies, "source", "doc_id", "body").select("doc_id", "source")
 
 
 @query("near_duplicate_documents_minhash")
 def near_duplicate_documents_minhash(tables: Tables) -> DataFrame:
-    bodies = tables.documents.withColumn("body", text.norm(F.col("text")))
+    bodies = tables.spread(tables.documents).withColumn("body", text.norm(F.col("text")))
     return keep_first(bodies, "source", "doc_id", "body", blocking="minhash").select("doc_id", "source")
 
 

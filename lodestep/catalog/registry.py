@@ -22,6 +22,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """``rows`` over all cores, for work that costs time: a small file is a single split."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     def derived(self, sql: str) -> DataFrame:
         used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in sql}
         return self.spark.sql(sql, **used)

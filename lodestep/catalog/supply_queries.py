@@ -178,7 +178,7 @@ KEPT_WORDS = kept_entries(WORDS, ["en", "fr", "de", "es"])
 WITH {_cte_parts("documents", "doc_id", "text")}
 SELECT doc_id, skill_id, category, fragment FROM ({_sql_hits(KEPT_WORDS, "doc_id")})""")
 def tagged_documents(tables: Tables) -> DataFrame:
-    bodies = tables.documents.select("doc_id", F.col("text").alias("raw"), F.col("doc_id").alias("chunk_ord"),
+    bodies = tables.spread(tables.documents).select("doc_id", F.col("text").alias("raw"), F.col("doc_id").alias("chunk_ord"),
                                      F.lit("").alias("bt"), F.lit("theory").alias("kind"),
                                      F.lit(None).cast("string").alias("unit"), F.lit(None).cast("int").alias("hours"), "source")
     evidence = tagging.alias_evidence(tagging.tagged_chunks(bodies, KEPT_WORDS), KEPT_WORDS)
@@ -190,7 +190,7 @@ WITH {_cte_parts("documents", "doc_id", "text")}, hits AS ({_sql_hits(KEPT_WORDS
 SELECT doc_id, fragment FROM (SELECT doc_id, unnest(parts) AS fragment FROM topics WHERE doc_id NOT IN (SELECT doc_id FROM hits))
 WHERE length(fragment) >= 6""")
 def untagged_fragments(tables: Tables) -> DataFrame:
-    bodies = tables.documents.select(F.col("text").alias("raw"), F.col("doc_id").alias("chunk_ord"),
+    bodies = tables.spread(tables.documents).select(F.col("text").alias("raw"), F.col("doc_id").alias("chunk_ord"),
                                      F.lit("").alias("bt"), F.lit("theory").alias("kind"),
                                      F.lit(None).cast("string").alias("unit"), F.lit(None).cast("int").alias("hours"), "source")
     rest = tagging.unmatched_fragments(tagging.tagged_chunks(bodies, KEPT_WORDS))
@@ -198,7 +198,7 @@ def untagged_fragments(tables: Tables) -> DataFrame:
 
 
 def topics(tables: Tables) -> DataFrame:
-    rows = tables.derived(inputs.TOPICS)
+    rows = tables.spread(tables.derived(inputs.TOPICS))
     return rows.withColumn("chunk_ord", F.struct("source", "chunk_no", "tie")).drop("chunk_no", "tie")
 
 

@@ -30,9 +30,11 @@ def _literal_entries(taxonomy: list[Entry]) -> Column:
 
 
 def tagged_chunks(chunks: DataFrame, taxonomy: list[Entry] = TAXONOMY, text: str = "raw") -> DataFrame:
-    """Add ``fragments`` and ``hits``, the entries a text matches with the fragment that does.
+    """Add ``fragments`` and ``hits``, the entries a text names with the first fragment that does.
 
-    Patterns are literals: each compiles once per task, and no join is involved.
+    Patterns are literals: each compiles once per task, and no join is involved. What follows
+    unnests ``hits`` and filters only afterwards: a filter on ``hits`` itself would be moved below
+    this projection and have all patterns run twice.
     """
     def hit(number: int, entry: Entry) -> Column:
         own = F.get(F.filter("fragments", lambda part: folded(part).rlike(entry_pattern(entry))), F.lit(0))
@@ -46,9 +48,8 @@ def tagged_chunks(chunks: DataFrame, taxonomy: list[Entry] = TAXONOMY, text: str
 
 def alias_evidence(tagged: DataFrame, taxonomy: list[Entry] = TAXONOMY,
                    confidence: float = fixed.ALIAS_CONFIDENCE) -> DataFrame:
-    """One evidence row per chunk and entry matched; ``ord`` puts them in reading order."""
+    """One evidence row per chunk and entry named; ``ord`` puts them in reading order."""
     entry = F.element_at(_literal_entries(taxonomy), F.col("_hit.skill_no") + 1)
-    # explode() would make Catalyst test the hits once more to drop empty ones beforehand.
     found = tagged.withColumn("_hit", F.explode_outer("hits")).filter(F.col("_hit").isNotNull())
     return found.select(
         entry["skill_id"].alias("skill_id"), entry["skill_name"].alias("skill_name"),
@@ -60,11 +61,11 @@ def alias_evidence(tagged: DataFrame, taxonomy: list[Entry] = TAXONOMY,
 
 
 def unmatched_fragments(tagged: DataFrame, min_length: int = 6) -> DataFrame:
-    """Fragments of chunks without any hit that are long enough for the vector search."""
+    """Fragments of chunks that name no entry, if long enough for the vector search."""
+    rest = F.when(F.size("hits") == 0, F.col("fragments"))
     return (
-        tagged.filter(F.size("hits") == 0)
-        .select("bt", "kind", "unit", "hours", "source", "chunk_ord",
-                F.posexplode("fragments").alias("fragment_no", "fragment"))
+        tagged.select("bt", "kind", "unit", "hours", "source", "chunk_ord",
+                      F.posexplode_outer(rest).alias("fragment_no", "fragment"))
         .filter(F.length("fragment") >= min_length)
     )
 
