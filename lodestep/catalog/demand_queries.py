@@ -13,6 +13,7 @@ from lodestep.functions import text
 from lodestep.operators import demand, dictionary, filters
 from lodestep.operators.near_duplicates import keep_first
 from lodestep.plans import demand_report as plan
+from lodestep.session import cut_lineage
 from lodestep.sources.csv_files import blank_texts, harmonised
 from lodestep.sources.sinks import counts_by
 
@@ -32,7 +33,7 @@ def pairs(tables: Tables) -> DataFrame:
 
 
 def base_counts(tables: Tables) -> DataFrame:
-    return demand.employer_skill_counts(pairs(tables))
+    return cut_lineage(demand.employer_skill_counts(pairs(tables)))
 
 
 @query("normalise_text", f"""
@@ -155,7 +156,7 @@ known AS (SELECT DISTINCT {sql_norm("unnest(string_split(text, ','))")} AS form
 SELECT raw FROM doc_skills WHERE length({sql_norm("raw")}) >= 2 AND {sql_norm("raw")} NOT IN ({sql_names(fixed.VAGUE_SKILLS)})
   AND {sql_norm("raw")} NOT IN (SELECT form FROM known)""")
 def unmatched_skills(tables: Tables) -> DataFrame:
-    raw = tables.documents.select(F.explode(text.split_list(F.col("text"))).alias("raw"))
+    raw = tables.spread(tables.documents).select(F.explode(text.split_list(F.col("text"))).alias("raw"))
     known = tables.benchmark.select(F.explode(F.transform(text.split_list(F.col("text")), text.norm)).alias("form"))
     forms = known.distinct().withColumn("skill_idx", F.xxhash64("form"))
     skills = dictionary.distinct_skills(raw)

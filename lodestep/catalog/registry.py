@@ -29,6 +29,8 @@ class Tables:
 
     def derived(self, sql: str) -> DataFrame:
         used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in sql}
+        if "lineitem" in used:
+            used["lineitem"] = self.spread(used["lineitem"])
         return self.spark.sql(sql, **used)
 
 

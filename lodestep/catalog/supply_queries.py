@@ -144,7 +144,7 @@ topics AS (SELECT {key}, whole, CASE WHEN len(parts) > 0 THEN parts ELSE [whole]
 WITH {_cte_parts("documents", "doc_id", "text")}
 SELECT doc_id, CAST(unnest(generate_series(0, len(parts) - 1)) AS int) AS part_no, unnest(parts) AS part FROM topics""")
 def split_topics_query(tables: Tables) -> DataFrame:
-    return tables.documents.select("doc_id", F.posexplode(split_topics(F.col("text"))).alias("part_no", "part"))
+    return tables.spread(tables.documents).select("doc_id", F.posexplode(split_topics(F.col("text"))).alias("part_no", "part"))
 
 
 # Words that occur in the documents.
@@ -198,7 +198,7 @@ def untagged_fragments(tables: Tables) -> DataFrame:
 
 
 def topics(tables: Tables) -> DataFrame:
-    rows = tables.spread(tables.derived(inputs.TOPICS))
+    rows = tables.derived(inputs.TOPICS)
     return rows.withColumn("chunk_ord", F.struct("source", "chunk_no", "tie")).drop("chunk_no", "tie")
 
 

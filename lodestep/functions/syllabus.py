@@ -117,8 +117,10 @@ def split_topics(text: Column, min_length: int = 3, prefix: str = fixed.TOPIC_PR
     """Parts of a topic text between ``,``, ``;`` and bullets outside brackets.
 
     The fold runs over brackets and the stretches between them, not over characters. Only a
-    stretch outside all brackets is split; its first piece continues the part before it.
+    stretch outside all brackets is split; its first piece continues the part before it. A text that
+    opens no bracket, by far the usual case, is split as it is.
     """
+    marks = "[,;•]"
     pieces = F.regexp_extract_all(text, F.lit(r"([(\[]|[)\]]|[^()\[\]]+)"))
     empty = F.struct(F.lit(0).alias("depth"), F.array(F.lit("")).alias("parts"))
 
@@ -131,13 +133,14 @@ def split_topics(text: Column, min_length: int = 3, prefix: str = fixed.TOPIC_PR
         depth, parts = state["depth"], state["parts"]
         opens, closes = piece.isin("(", "["), piece.isin(")", "]")
         splits = ~opens & ~closes & (depth == 0)
-        more = F.when(splits, F.split(piece, "[,;•]")).otherwise(F.array(piece))
+        more = F.when(splits, F.split(piece, marks)).otherwise(F.array(piece))
         next_depth = (F.when(opens, depth + 1)
                       .when(closes, F.greatest(depth - 1, F.lit(0)))
                       .otherwise(depth))
         return F.struct(next_depth.alias("depth"), extend(parts, more).alias("parts"))
 
-    parts = F.aggregate(pieces, empty, step)["parts"]
+    bracketed = text.contains("(") | text.contains("[")
+    parts = F.when(bracketed, F.aggregate(pieces, empty, step)["parts"]).otherwise(F.split(text, marks))
     cleaned = F.transform(parts, lambda part: F.btrim(
         F.regexp_replace(strip(part), ignore_case(prefix), ""), F.lit(" -:,.\t")))
     kept = F.filter(cleaned, lambda part: F.length(part) >= min_length)

@@ -15,15 +15,13 @@ def listed_skills(postings: DataFrame, skills: str = "skills", keep: tuple[str,
     return postings.select("posting", *keep, F.posexplode(split_list(F.col(skills))).alias("pos", "raw"))
 
 
-def posting_skills(raw_skills: DataFrame, mapping: DataFrame,
-                   min_skills: int = fixed.MIN_SKILLS_PER_POSTING) -> DataFrame:
-    """``posting, employer, title, skill_idx, how`` of postings with enough mapped skills.
+def posting_skills(mapped: DataFrame, min_skills: int = fixed.MIN_SKILLS_PER_POSTING) -> DataFrame:
+    """``posting, skill_idx, employer, title, how`` of postings with enough mapped skills.
 
-    ``raw_skills`` holds ``posting, employer, title, pos, raw``. Where two strings of a posting
+    ``mapped`` holds ``posting, employer, title, pos, skill_idx, how``. Where two strings of a posting
     map to one skill, the earlier one gives ``how``. Rows are spread by posting once, before the
     grouping; the per-posting count reuses that partitioning.
     """
-    mapped = raw_skills.join(mapping.select("raw", "skill_idx", "how"), "raw")
     pairs = (
         mapped.repartition("posting")
         .groupBy("posting", "skill_idx")

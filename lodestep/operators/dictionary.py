@@ -56,12 +56,16 @@ def distinct_skills(postings_skills: DataFrame, raw: str = "raw") -> DataFrame:
 
 def exact_matches(skills: DataFrame, forms: DataFrame, vague: list[str] = fixed.VAGUE_SKILLS,
                   raw: str = "raw") -> DataFrame:
-    """``raw, skill_idx, how`` of skill strings that equal a form after normalising."""
+    """Rows of ``skills`` whose string equals a form after normalising, with ``skill_idx, how``.
+
+    Rows need not be distinct: the test is one hash lookup, so folding them first would only
+    add a shuffle.
+    """
     return (
         skills.filter(is_specific_skill(F.col(raw), vague))
         .withColumn("form", norm(F.col(raw)))
-        .join(forms, "form")
-        .select(raw, "skill_idx", F.lit("exact").alias("how"))
+        .join(forms, "form").drop("form")
+        .withColumn("how", F.lit("exact"))
     )
 
 

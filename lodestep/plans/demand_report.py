@@ -9,6 +9,7 @@ from lodestep.functions import fixed_values as fixed
 from lodestep.functions.text import fingerprint
 from lodestep.operators import demand, dictionary, filters, nearest
 from lodestep.operators.near_duplicates import keep_first
+from lodestep.session import cut_lineage
 
 
 def unique_postings(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE_RATIO,
@@ -23,27 +24,28 @@ def unique_postings(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE
     return keep_first(printed, "employer_key", "posting", "_print", threshold, blocking).drop("_print")
 
 
-def skill_mapping(raw_skills: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
+def mapped_skills(raw_skills: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
                   skill_vectors: DataFrame | None = None, entry_vectors: DataFrame | None = None,
                   threshold: float = fixed.NEAREST_LABEL_MIN,
                   margin: float = fixed.NEAREST_LABEL_MARGIN) -> DataFrame:
-    """``raw, skill_idx, how`` for distinct skill strings: exact form or alias, then vectors.
+    """``raw_skills`` with ``skill_idx, how``: exact form or alias first, then vectors.
 
     Vectors are optional; ``skill_vectors`` holds ``raw, vector``, ``entry_vectors`` ``entry_id, vector``.
+    Only distinct strings without an exact match are searched by vector.
     """
     forms = dictionary.surface_forms(entries)
     if aliases is not None:
         forms = dictionary.with_aliases(forms, aliases)
-    skills = dictionary.distinct_skills(raw_skills)
-    exact = dictionary.exact_matches(skills, forms)
+    exact = dictionary.exact_matches(raw_skills, forms)
     if skill_vectors is None or entry_vectors is None:
         return exact
-    rest = dictionary.unmatched_skills(skills, exact).join(skill_vectors, "raw")
-    numbered = rest.withColumn("query_id", F.xxhash64("raw"))
+    skills = dictionary.distinct_skills(raw_skills)
+    rest = dictionary.unmatched_skills(skills, dictionary.exact_matches(skills, forms))
+    numbered = rest.join(skill_vectors, "raw").withColumn("query_id", F.xxhash64("raw"))
     found = nearest.accepted(nearest.nearest_entries(numbered, entry_vectors), threshold, margin)
-    embedded = numbered.join(found, "query_id").select(
+    mapping = numbered.join(found, "query_id").select(
         "raw", F.col("entry_id").alias("skill_idx"), F.lit("embed").alias("how"))
-    return exact.unionByName(embedded)
+    return exact.unionByName(raw_skills.join(mapping, "raw"))
 
 
 def posting_skill_table(postings: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
@@ -52,13 +54,16 @@ def posting_skill_table(postings: DataFrame, entries: DataFrame, aliases: DataFr
     wanted = filters.coding_titles(filters.entry_level(postings))
     named = wanted.withColumn("employer", F.col("employer_key"))
     raw = demand.listed_skills(named, "skills", ("employer", "title"))
-    return demand.posting_skills(raw, skill_mapping(raw, entries, aliases, **vectors))
+    return demand.posting_skills(mapped_skills(raw, entries, aliases, **vectors))
 
 
 def demand_report(postings: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
                   forced_k: int | None = None, trends: DataFrame | None = None, blocking: str = "exact",
                   **vectors) -> DataFrame:
-    """Demand records. Without vectors only exact forms and aliases map."""
+    """Demand records. Without vectors only exact forms and aliases map.
+
+    The counts per skill and employer are written once: both the threshold and the records need them.
+    """
     pairs = posting_skill_table(unique_postings(postings, blocking=blocking), entries, aliases, **vectors)
-    base = demand.employer_skill_counts(pairs)
+    base = cut_lineage(demand.employer_skill_counts(pairs))
     return demand.demand_records(demand.verified_skills(base, forced_k), entries, trends)
