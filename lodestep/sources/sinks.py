@@ -29,7 +29,10 @@ def write_record_array(records: DataFrame, path: str, order: list[str | Column],
 
 
 def observed(rows: DataFrame, stage: str, *extra: Column) -> tuple[DataFrame, Observation]:
-    """``rows`` unchanged, plus counts that are there once an action has run; no extra pass."""
+    """``rows`` unchanged, plus counts that are there once an action has run; no extra pass.
+
+    Extra measures must not be exact distinct counts, which cannot be observed in passing.
+    """
     seen = Observation(stage)
     return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *extra), seen
 
