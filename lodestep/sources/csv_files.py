@@ -89,6 +89,16 @@ def read_postings(spark: SparkSession, folder: str,
     return blank_texts(typed.drop("_place", "row_no"), texts)
 
 
+def read_survey(spark: SparkSession, folder: str, candidates: dict[str, list[str]],
+                year_pattern: str = r"(\d{4})") -> DataFrame:
+    """Yearly survey files under one schema plus ``year``, taken from the file name.
+
+    ``candidates`` lists the names a column had over the years, e.g. for ``country`` and ``technologies``.
+    """
+    year = F.regexp_extract("source", year_pattern, 1).cast("int")
+    return harmonised_files(spark, folder, candidates).withColumn("year", year).drop("row_no", "source")
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """``skill_idx, uri, label, alt_labels`` of a dictionary file, rows without label dropped.
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestep.operators import dictionary
+from lodestep.operators.trend import usage_series
 from lodestep.plans.demand_report import demand_report
 from lodestep.plans.supply_report import supply_report
 from lodestep.sources import csv_files, sinks, syllabus_tables
@@ -56,6 +57,15 @@ def test_read_postings(spark, folder):
         csv_files.csv_names(spark, str(folder / "empty"))
 
 
+def test_survey(spark, tmp_path):
+    (tmp_path / "so_2018.csv").write_text("Country,LanguageWorkedWith\nIndia,C;Python\nPeru,C\n", encoding="utf-8")
+    (tmp_path / "so_2021.csv").write_text("Id,Country,LanguageHaveWorkedWith\n1,India,Python;Python\n2,India,NA\n", encoding="utf-8")
+    names = {"country": ["Country"], "technologies": ["LanguageHaveWorkedWith", "LanguageWorkedWith"]}
+    series = usage_series(csv_files.read_survey(spark, str(tmp_path), names), country="India")
+    got = {(r["skill_id"], r["year"]): (r["users"], r["usage"]) for r in series.collect()}
+    assert got == {("C", 2018): (1, 1.0), ("Python", 2018): (1, 1.0), ("Python", 2021): (1, 0.5)}
+
+
 def test_demand_report(spark, folder):
     entries = csv_files.read_dictionary(spark, str(folder / "skills.csv"))
     assert [r["label"] for r in entries.orderBy("skill_idx").collect()][0] == "Python (computer programming)"
