@@ -97,7 +97,7 @@ UNION ALL SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN line_chu
 def chunk_cascade(tables: Tables) -> DataFrame:
     rows = table_rows(tables)
     docs = pages(tables).select("doc").unionByName(rows.select("doc")).distinct()
-    long_topics = chunks.table_chunks(rows).filter(F.col("hours") == 3)
+    long_topics = cut_lineage(chunks.table_chunks(rows).filter(F.col("hours") == 3))
     chosen = chunks.cascaded_chunks(docs, long_topics, lines(tables), min_topics=60)
     return chosen.select("doc", "origin", "page_no", "row_no", "raw")
 

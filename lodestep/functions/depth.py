@@ -21,18 +21,21 @@ def depth_of_rank(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(d) for d in fixed.DEPTHS]), rank + 1)
 
 
-def verb_depths(lexicon: dict[str, list[str]] = fixed.DEPTH_VERBS) -> dict[str, str]:
-    return {verb: depth for depth, verbs in lexicon.items() for verb in verbs}
+_FIRST_WORDS = r"^[^a-z]*([a-z]+)(?:[^a-z]+([a-z]+))?(?:[^a-z]+([a-z]+))?"
 
 
 def leading_verb(text: Column, lexicon: dict[str, list[str]] = fixed.DEPTH_VERBS) -> Column:
-    """First of the first three words that, less up to three end letters, is a known verb."""
-    words = F.slice(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)")), 1, 3)
+    """First of the first three words that, less up to three end letters, is a known verb.
+
+    Only the head of the text is scanned, and verbs are looked up by hash.
+    """
+    low = F.lower(text)
+    words = F.array(*[F.regexp_extract(low, _FIRST_WORDS, i) for i in (1, 2, 3)])
     stems = F.flatten(F.transform(words, lambda word: F.array(*[
         F.substring(word, F.lit(1), F.length(word) - cut) for cut in range(4)
     ])))
-    known = F.array(*[F.lit(verb) for verb in verb_depths(lexicon)])
-    return F.get(F.filter(stems, lambda stem: F.array_contains(known, stem)), F.lit(0))
+    known = [verb for verbs in lexicon.values() for verb in verbs]
+    return F.get(F.filter(stems, lambda stem: stem.isin(known)), F.lit(0))
 
 
 def level_depth(level: Column) -> Column:
@@ -42,12 +45,17 @@ def level_depth(level: Column) -> Column:
     return (F.when(top <= 2, "know").when(top == 3, "apply").when(top > 3, "build"))
 
 
-def inferred_depth(fragment: Column, level: Column, kind: Column,
-                   lexicon: dict[str, list[str]] = fixed.DEPTH_VERBS) -> Column:
+def depth_of_verb(verb: Column, level: Column, kind: Column,
+                  lexicon: dict[str, list[str]] = fixed.DEPTH_VERBS) -> Column:
     """``struct(verb, depth)``; without a known verb the usual verb of the depth stands in."""
-    verb = leading_verb(fragment, lexicon)
     fallback = F.coalesce(level_depth(level), F.when(kind == "practical", "apply").otherwise("know"))
+    own = F.coalesce(*[F.when(verb.isin(verbs), F.lit(depth)) for depth, verbs in lexicon.items()])
     return F.struct(
         F.coalesce(verb, F.element_at(literal_map(fixed.USUAL_VERB), fallback)).alias("verb"),
-        F.coalesce(F.element_at(literal_map(verb_depths(lexicon)), verb), fallback).alias("depth"),
+        F.coalesce(own, fallback).alias("depth"),
     )
+
+
+def inferred_depth(fragment: Column, level: Column, kind: Column,
+                   lexicon: dict[str, list[str]] = fixed.DEPTH_VERBS) -> Column:
+    return depth_of_verb(leading_verb(fragment, lexicon), level, kind, lexicon)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestep.functions import fixed_values as fixed
-from lodestep.functions.depth import inferred_depth
+from lodestep.functions.depth import depth_of_verb, leading_verb
 from lodestep.functions.syllabus import split_topics
 from lodestep.functions.taxonomy import TAXONOMY, Entry, entry_id, entry_pattern, folded, holds_entry
 from lodestep.operators.nearest import best_entry
@@ -95,6 +95,7 @@ def semantic_evidence(fragments: DataFrame, vectors: DataFrame, entry_vectors: D
 
 def with_depth(evidence: DataFrame) -> DataFrame:
     """Add the ``verb`` and ``depth`` of each evidence row."""
-    inferred = inferred_depth(F.col("fragment"), F.col("bt"), F.col("kind"))
-    return evidence.withColumn("_d", inferred).withColumns(
-        {"verb": F.col("_d.verb"), "depth": F.col("_d.depth")}).drop("_d")
+    found = evidence.withColumn("_verb", leading_verb(F.col("fragment")))
+    inferred = depth_of_verb(F.col("_verb"), F.col("bt"), F.col("kind"))
+    return found.withColumn("_d", inferred).withColumns(
+        {"verb": F.col("_d.verb"), "depth": F.col("_d.depth")}).drop("_d", "_verb")

@@ -12,10 +12,13 @@ from lodestep.session import cut_lineage
 
 
 def syllabus_chunks(pages: DataFrame, table_rows: DataFrame, external: DataFrame | None = None) -> DataFrame:
-    """Chunks of core courses with ``source`` and ``chunk_ord``."""
+    """Chunks of core courses with ``source`` and ``chunk_ord``.
+
+    Both kinds of chunks are written once, as the cascade counts them before it picks.
+    """
     core = chunks.core_courses(pages)
-    tables = chunks.table_chunks(table_rows.join(core, "doc", "left_semi"))
-    lines = chunks.line_chunks(pages.join(core, "doc", "left_semi"))
+    tables = cut_lineage(chunks.table_chunks(table_rows.join(core, "doc", "left_semi")))
+    lines = cut_lineage(chunks.line_chunks(pages.join(core, "doc", "left_semi")))
     return placed(chunks.cascaded_chunks(core, tables, lines, external))
 
 
