@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +13,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -27,14 +28,14 @@ def build_session(master: str = "local[*]", app: str = "lodestep", **conf: str)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
+    """The shared folder the cluster names; where none is named, one beside the warehouse, which is shared too."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="lodestep-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lodestep-checkpoints"
     context.setCheckpointDir(folder)
     return folder
 
@@ -43,3 +44,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that loops over it survive lost executors."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again.
+
+    Like :func:`cut_lineage`, but Catalyst knows the size of what it reads, so it decides by measure
+    whether to broadcast it. The files stay for the life of the shared folder.
+    """
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
