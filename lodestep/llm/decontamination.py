@@ -29,21 +29,26 @@ def benchmark_windows(items: DataFrame, width: int = 10) -> DataFrame:
         F.sha2(F.concat_ws(" ", "words"), 256).alias("window_id"), "words", F.size("words").alias("n"), "item_ids")
 
 
-def postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
-    """``doc_id, text_hash, term, at, around, around_from``: where each of ``terms`` stands in whole texts.
+def postings(docs: DataFrame, pairs: DataFrame, reach: int) -> DataFrame:
+    """``doc_id, text_hash, term, at, around, around_from``: where ``term`` stands with ``other`` at ``delta`` words from it.
 
-    ``at`` counts words from 1. ``around`` holds the words within ``reach`` of it, the first of which
-    stands at ``around_from``; case as in the text. A row is known by its id and the hash of its text.
+    ``pairs`` holds ``term, delta, other``: of the two lists, the other's shifted by ``delta``, only the intersection
+    leaves the scan, as the text's own words are at hand there. ``delta`` 0 takes all of ``term``'s list. ``at``
+    counts words from 1. ``around`` holds the words within ``reach`` of it, the first of which stands at
+    ``around_from``; case as in the text. A row is known by its id and the hash of its text.
 
-    ``term`` is compared in full lower case, which finds all that A-Z lower-casing finds and more; what
-    is compared later is exact.
+    Terms are compared in full lower case, which finds all that A-Z lower-casing finds and more; what
+    is compared later is exact. ``pairs`` follows the benchmark, not the documents; Catalyst broadcasts it if its
+    stored size is below the session's threshold and else joins by shuffle.
     """
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), cased_words(F.col("text")).alias("w"))
     # The outer form: Catalyst adds a filter to the plain one that would tokenise each text twice.
-    flat = words.select("doc_id", "text_hash", "w", F.posexplode_outer("w").alias("i", "word"))
-    hit = flat.withColumn("term", F.lower("word")).join(terms, "term")
+    flat = words.select("doc_id", "text_hash", "w", F.posexplode_outer("w").alias("i", "word")).withColumn(
+        "here", F.lower("word"))
+    there = F.lower(F.get(F.col("w"), F.col("i") + pairs["delta"]))
+    hit = flat.join(pairs, (F.col("here") == pairs["term"]) & (there == pairs["other"]), "left_semi")
     first = F.greatest(F.col("i") + 1 - reach, F.lit(1))
-    return hit.select("doc_id", "text_hash", "term", (F.col("i") + 1).alias("at"),
+    return hit.select("doc_id", "text_hash", F.col("here").alias("term"), (F.col("i") + 1).alias("at"),
                       F.slice("w", first, F.col("i") + 2 + reach - first).alias("around"), first.alias("around_from"))
 
 
@@ -58,25 +63,25 @@ def probes(windows: DataFrame, docs: DataFrame, count: int = PROBES) -> DataFram
         F.col("rank") <= count).select("window_id", "term", "offset", "rank")
 
 
-def phrase_matches(docs: DataFrame, items: DataFrame, width: int = 10, probe_count: int = PROBES) -> DataFrame:
+def phrase_matches(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """``doc_id, text_hash, start, n, item_ids``: each exact occurrence of a benchmark window, words from 1.
 
-    The lists of a window's rarest words, each shifted by the word's offset, are intersected on the start
-    they imply; what all lists agree on is compared word by word with the text kept around the rarest word.
+    The lists of a window's two rarest words, the second shifted by its distance from the first, are intersected;
+    what both lists agree on is compared word by word with the text kept around the rarest word.
     """
     windows = stored(benchmark_windows(items, width), "windows")
-    probe = stored(probes(windows, docs, probe_count), "probes")
-    index = stored(postings(docs, stored(probe.select("term").distinct(), "terms"), width - 1), "postings")
-    aligned = index.join(probe, "term").withColumn("start", F.col("at") - F.col("offset"))
-    aligned = aligned.where("start >= 1").select(
-        "doc_id", "text_hash", "window_id", "start", "rank",
-        F.when(F.col("rank") == 1, F.struct("around", "around_from")).alias("context"))
-    met = aligned.groupBy("doc_id", "text_hash", "window_id", "start").agg(
-        F.count_distinct("rank").alias("lists"), F.first("context", ignorenulls=True).alias("context"))
-    found = met.join(windows, "window_id").where(F.col("lists") == F.least("n", F.lit(probe_count)))
-    here = F.slice(F.col("context.around"), F.col("start") - F.col("context.around_from") + 1, F.col("n"))
-    return found.where(F.transform(here, ascii_lower) == F.col("words")).select(
-        "doc_id", "text_hash", "start", "n", "item_ids")
+    rank = F.struct("rank", "offset", "term")
+    pair = probes(windows, docs, PROBES).groupBy("window_id").agg(
+        F.min(rank).alias("first"), F.max(rank).alias("last")).select(
+        "window_id", F.col("first.term").alias("term"), F.col("first.offset").alias("offset"),
+        (F.col("last.offset") - F.col("first.offset")).alias("delta"), F.col("last.term").alias("other"))
+    probe = stored(windows.join(pair, "window_id"), "probes")
+    pairs = stored(probe.select("term", "delta", "other").distinct().coalesce(1), "pairs")
+    index = stored(postings(docs, pairs, width - 1), "postings")
+    start = F.col("at") - F.col("offset")
+    here = F.slice("around", F.greatest(start - F.col("around_from") + 1, F.lit(1)), F.col("n"))
+    return index.join(probe, "term").where(start >= 1).where(F.transform(here, ascii_lower) == F.col("words")).select(
+        "doc_id", "text_hash", start.alias("start"), "n", "item_ids")
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, width: int = 10, slop: int = 5,
@@ -89,7 +94,8 @@ def proximity_matches(docs: DataFrame, items: DataFrame, width: int = 10, slop:
     reach = width + slop
     windows = stored(benchmark_windows(items, width), "windows")
     probe = stored(probes(windows, docs, probe_count), "probes")
-    index = stored(postings(docs, probe.select("term").distinct(), 0), "postings").drop("around", "around_from")
+    pairs = probe.select("term", F.lit(0).alias("delta"), F.col("term").alias("other")).distinct()
+    index = stored(postings(docs, stored(pairs, "pairs"), 0), "postings").drop("around", "around_from")
     hits = index.join(probe, "term").withColumn("block", F.floor(F.col("at") / reach))
     key = ["doc_id", "text_hash", "window_id", "block"]
     first = hits.where("rank = 1").withColumn("block", F.explode(F.array(*(F.col("block") + i for i in (-1, 0, 1)))))
@@ -102,17 +108,17 @@ def proximity_matches(docs: DataFrame, items: DataFrame, width: int = 10, slop:
         "doc_id", "text_hash", "window_id", F.least("at", "low").alias("first_at"), F.greatest("at", "high").alias("last_at"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = 10, probe_count: int = PROBES) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """Per row of ``docs``: ``doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated``.
 
     ``n_hit`` counts words inside any occurrence of a window, ``n_items`` items with an occurring window;
     ``items_sha256`` is of their ids as strings, sorted and joined by commas. Null texts have no words. Repeated
     rows get the same result each; other columns are ignored. Null item ids are left out of the lists. Empty tables: no hits.
 
-    Only postings of the rarest words leave the scan, with some words of context each, so the shuffle follows the
-    occurrences of rare benchmark words; a passage in a third of all texts stays spread by document.
+    Only where a window's two rarest words stand at their distance does a posting leave the scan, with some words of
+    context, so what is shuffled follows the true occurrences; a passage in a third of all texts stays spread by document.
     """
-    found = phrase_matches(docs, items, width, probe_count)
+    found = phrase_matches(docs, items, width)
     row = ["doc_id", "text_hash"]
     spans = found.groupBy(*row, "start").agg(
         F.max(F.col("start") + F.col("n")).alias("end"), F.flatten(F.collect_set("item_ids")).alias("ids"))
@@ -134,9 +140,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, probe_coun
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, probe_count: int = PROBES) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """The rows of ``docs`` without an occurrence of a benchmark window; columns as they were."""
-    dirty = stored(contamination(docs, items, width, probe_count).where("contaminated").select(
+    dirty = stored(contamination(docs, items, width).where("contaminated").select(
         F.col("doc_id").alias("dirty_id"), F.col("text_hash").alias("dirty_hash")).distinct(), "contaminated")
     same = docs["doc_id"].eqNullSafe(dirty["dirty_id"]) & (F.xxhash64(docs["text"]) == dirty["dirty_hash"])
     return docs.join(dirty, same, "left_anti")
