@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import decontamination, licenses, mixing, quality
+from lodestep.llm import decontamination, licenses, mixing, near_dedup, quality
 from lodestep.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -27,6 +27,10 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents")).drop("text_hash")
 
 
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
