@@ -32,4 +32,12 @@ SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op1_mix_sources": OP1.strip(), "op4_decontamination": OP4.strip()}
+OP2 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM d)
+SELECT page_id, CAST(n AS bigint) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+ORACLES = {"op1_mix_sources": OP1.strip(), "op2_warc": OP2.strip(), "op4_decontamination": OP4.strip()}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import decontamination, licenses, mixing, near_dedup, quality
+from lodestep.llm import decontamination, language, licenses, mixing, near_dedup, passages, quality, token_files, url_filter, warc
 from lodestep.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -18,11 +19,31 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.page_captures(table(spark, folder, "pages"))
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages")).drop("score")
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("text_hash")
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
+
+
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_output(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents")).drop("text_hash")
 
