@@ -51,12 +51,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str = "table") -> DataFrame:
+def stored(df: DataFrame, label: str = "table", compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Like :func:`cut_lineage`, but Catalyst knows the size of what it reads, so it decides by measure
     whether to broadcast it. The files stay for the life of the shared folder.
     """
     folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
