@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lodestep.session import new_folder, stored
 
-#: Distinct words of which a Python worker remembers the ids.
-REMEMBERED = 500_000
+#: Distinct words, and distinct parts of them, of which a Python worker remembers the ids.
+REMEMBERED = 400_000
 #: Coded bytes per file, about; files are read whole by one task each.
 FILE_BYTES = 8 << 20
 END = 0
@@ -24,12 +24,15 @@ HEAD = "<q?II"
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
-class WordIds(dict):
-    """Word with the space before it -> its ids as bytes, for texts whose spaces all start a word.
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(others)}
 
-    The tokenizer cuts texts before each such space itself, so encoding word by word gives the same ids as encoding the
-    text; words repeat, so most are looked up. Texts with other white space after a space are encoded whole.
-    """
+
+class PartIds(dict):
+    """Part of a text that the tokenizer encodes by itself -> its ids as bytes."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -37,9 +40,35 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        letters = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        ids = np.array([token.id for token in self.model.tokenize(letters)], self.kind).tobytes()
+        if len(self) < REMEMBERED:
+            self[part] = ids
+        return ids
+
+
+class WordIds(dict):
+    """Word with the space before it -> its ids as bytes, for texts whose spaces all start a word.
+
+    A byte-level tokenizer cuts a text into parts by a pattern, before each such space among others, and encodes each part by
+    itself. Words and parts repeat, so most are looked up. Texts with other white space after a space are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        import public_tokenizers
+        import regex
+
+        self.parts = PartIds(path)
+        self.kind = self.parts.kind
+        self.cut = regex.compile(public_tokenizers.PATTERN).findall
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return b"".join(map(self.parts.__getitem__, self.cut(text)))
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(" " + word)
@@ -47,11 +76,11 @@ class WordIds(dict):
             self[word] = ids
         return ids
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> bytes:
         first, *words = text.split(" ")
         if not all(words) or any(map(str.isspace, {word[0] for word in words})):
-            return np.frombuffer(self.encode(text), np.uint32)
-        return np.frombuffer(self.encode(first) + b"".join(map(self.__getitem__, words)), np.uint32)
+            return self.encode(text)
+        return self.encode(first) + b"".join(map(self.__getitem__, words))
 
 
 def tokenizer(path: str) -> WordIds:
@@ -61,26 +90,30 @@ def tokenizer(path: str) -> WordIds:
 
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n, ids`` per row: ids of the whole text, null as empty, and the end id, as little-endian 32-bit numbers."""
+    """``doc_id, n, ids`` per row: ids of the whole text, null as empty, and the end id, as little-endian numbers.
+
+    ``path`` names a byte-level tokenizer of the tokenizers library. Numbers have 16 bits if its vocabulary allows, else 32.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
+        end, width = np.array([END], words.kind).tobytes(), np.dtype(words.kind).itemsize
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                ids = [np.append(words.ids(text or ""), np.uint32(END)) for text in part.column("text").to_pylist()]
+                ids = [words.ids(text or "") + end for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["doc_id", "n", "ids"])
+                    part.column("doc_id"), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "n", "ids"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, ids binary")
 
 
-def frequency_ranks(encoded: DataFrame) -> np.ndarray:
+def frequency_ranks(encoded: DataFrame, kind: str) -> np.ndarray:
     """All ids that occur, the most frequent first, ties by id; at most as many as the tokenizer's vocabulary has."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column("ids"):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
+                found = np.bincount(np.frombuffer(ids.as_buffer(), kind))
                 if len(found) > len(totals):
                     totals = np.concatenate([totals, np.zeros(len(found) - len(totals), np.int64)])
                 totals[:len(found)] += found
@@ -121,29 +154,35 @@ def write_token_files(docs: DataFrame, folder: str, path: str, file_bytes: int =
 
     A file is a sequence of documents: ``HEAD``, control bytes, data bytes, a line end. Ids are replaced by their rank
     by frequency in all texts, so the most frequent 256 take one byte. Files are named in order of their documents;
-    rows with one id stand in order of their code. Ranges of ids and codes make files of about ``file_bytes``. Spark's
+    rows with one id stand in order of their code, in one file. Quantiles of the ids make files of about ``file_bytes``. Spark's
     text writer writes the records, so they get wherever Spark writes and survive lost tasks.
     """
-    encoded = stored(encode_texts(docs, path), "ids")
-    ranked = frequency_ranks(encoded)
+    encoded, kind = stored(encode_texts(docs, path), "ids", "zstd"), tokenizer(path).kind
+    ranked = frequency_ranks(encoded, kind)
     rank = np.zeros(int(ranked.max(initial=0)) + 1, np.uint32)
     rank[ranked] = np.arange(len(ranked))
 
+    total = encoded.agg(F.sum("n")).first()[0] or 0
+    files = int(1 + total * 1.5 // file_bytes)
+    shares = [i / files for i in range(1, files)]
+    bounds = np.array((shares and encoded.agg(F.percentile_approx("doc_id", shares, 100 * files)).first()[0]) or [], np.int64)
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                records = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), part.column("ids")):
-                    values = rank[np.frombuffer(ids.as_buffer(), "<u4")]
+                doc_ids, records = part.column("doc_id").to_pylist(), []
+                for doc_id, ids in zip(doc_ids, part.column("ids")):
+                    values = rank[np.frombuffer(ids.as_buffer(), kind)]
                     packed = pack(values)
                     records.append(struct.pack(HEAD, doc_id or 0, doc_id is None, len(values), len(packed)) + packed)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(records, pa.binary())], names=["doc_id", "record"])
+                ranges = [0 if doc_id is None else int(np.searchsorted(bounds, doc_id)) for doc_id in doc_ids]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(records, pa.binary()), pa.array(ranges, pa.int32())],
+                                                 names=["doc_id", "record", "range"])
 
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    files = int(1 + total * 1.5 // file_bytes)
-    coded = encoded.select("doc_id", "ids").mapInArrow(code, "doc_id long, record binary").withColumn("tie", F.xxhash64("record"))
-    coded.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select(
+    # Bounds come from the ids alone; a range partitioner would code every text twice, once to sample.
+    coded = encoded.select("doc_id", "ids").mapInArrow(code, "doc_id long, record binary, range int")
+    coded.repartitionById(files, F.col("range")).sortWithinPartitions("doc_id", "record").select(
         F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{folder}/documents")
     docs.sparkSession.createDataFrame([(rank, int(x)) for rank, x in enumerate(ranked)], "rank long, id long").coalesce(1).write.parquet(
         f"{folder}/ranks")
