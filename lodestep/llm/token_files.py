@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 
 from lodestep.session import new_folder, stored
 
-#: Distinct words, and distinct parts of them, of which a Python worker remembers the ids.
-REMEMBERED = 400_000
+#: Distinct words of which a Python worker remembers the ids.
+REMEMBERED = 1_000_000
 #: Coded bytes per file, about; files are read whole by one task each.
 FILE_BYTES = 8 << 20
 END = 0
@@ -31,47 +33,43 @@ def byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(others)}
 
 
-class PartIds(dict):
-    """Part of a text that the tokenizer encodes by itself -> its ids as bytes."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-
-    def __missing__(self, part: str) -> bytes:
-        letters = part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        ids = np.array([token.id for token in self.model.tokenize(letters)], self.kind).tobytes()
-        if len(self) < REMEMBERED:
-            self[part] = ids
-        return ids
-
-
 class WordIds(dict):
     """Word with the space before it -> its ids as bytes, for texts whose spaces all start a word.
 
     A byte-level tokenizer cuts a text into parts by a pattern, before each such space among others, and encodes each part by
-    itself. Words and parts repeat, so most are looked up. Texts with other white space after a space are encoded whole.
+    itself: letters with the space before them, runs of other marks. Words of letters repeat, so most are looked up; a
+    mark at a word's end is a part of its own. Texts with other white space after a space are cut by the pattern.
     """
 
     def __init__(self, path: str):
         super().__init__()
         import public_tokenizers
         import regex
+        from tokenizers import Tokenizer
 
-        self.parts = PartIds(path)
-        self.kind = self.parts.kind
+        self.tokenizer = Tokenizer.from_file(path)
+        self.kind, self.code = ("<u2", "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
+        self.marks = {mark: self.part(mark) for mark in ".,;:!?|"}
+
+    def part(self, text: str) -> bytes:
+        letters = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        ids = array(self.code, [token.id for token in self.tokenize(letters)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.parts.__getitem__, self.cut(text)))
+        return b"".join([self[part[1:]] if part[0] == " " and part[1:].isalpha() else self.part(part) for part in self.cut(text)])
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(" " + word)
+        if word.isalpha():
+            ids = self.part(" " + word)
+        elif word[-1:] in self.marks and word[:-1].isalpha():
+            return self[word[:-1]] + self.marks[word[-1]]
+        else:
+            ids = self.encode(" " + word)
         if len(self) < REMEMBERED:
             self[word] = ids
         return ids
