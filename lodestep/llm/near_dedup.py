@@ -25,6 +25,10 @@ PATH = 3
 SMALL = 16
 #: Least estimated similarity of a pair worth an exact comparison: 5 standard deviations below 0.75.
 ESTIMATE = 0.53
+#: Estimated similarity to the leader from which on a member leaves a large node with it.
+LEAVE = 0.85
+#: Minwise tokens by which a large node's leader is chosen.
+VOTES = 16
 
 SETS = "row long, doc_id long, n long, digest string, shingles binary"
 SKETCHES = "doc_id long, n long, digest string, sketch array<int>"
@@ -97,17 +101,34 @@ def agreement(left: str, right: str):
     return F.size(F.filter(F.zip_with(left, right, lambda x, y: x == y), lambda same: same)) / F.lit(SKETCH)
 
 
+def with_leaders(large: DataFrame, narrow: DataFrame) -> DataFrame:
+    """``node, member, leader``: the leader agrees most with the most frequent minwise tokens of the node's members.
+
+    So the text that others are copies of leads, if it is among them, and most copies are linked to it at once.
+    """
+    voters = cut_lineage(large.join(narrow.select("member", F.slice("sketch", 1, VOTES).alias("head")), "member"))
+    votes = voters.select("node", F.posexplode("head").alias("place", "token")).groupBy("node", "place", "token").count()
+    winners = votes.groupBy("node", "place").agg(F.max(F.struct("count", "token")).alias("most")).groupBy("node").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "most.token"))), lambda x: x["token"]).alias("majority"))
+    agree = F.size(F.filter(F.zip_with("head", "majority", lambda x, y: x == y), lambda same: same))
+    leaders = voters.join(winners, "node").groupBy("node").agg(
+        F.max(F.struct(agree.alias("agree"), F.xxhash64("node", "member").alias("tie"), "member")).alias("best"))
+    return large.join(leaders.select("node", F.col("best.member").alias("leader")), "node")
+
+
 def candidates(sets: DataFrame, small: int = SMALL) -> DataFrame:
     """``a, b`` (a < b): pairs of ``member, n, sketch`` that meet in a node and may be similar enough.
 
     The root branches into a node per tree and minwise token. A node of up to ``small`` members compares them
-    all. A larger one compares all with one member, its leader; those that may be similar to it leave, the
-    others branch again along ``BRANCHES`` paths, each of ``PATH`` further tokens chosen by the
-    node's level (one more from the third level on), so unlike members that share a passage part, until no large node is left.
+    all. A larger one compares all with one member, its leader, the one most like the majority. Those that are
+    clearly similar to it (``LEAVE``) leave, the others branch again along ``BRANCHES`` paths, each of ``PATH`` further tokens
+    chosen by the node's level (one more from the third level on), so unlike members that share a passage
+    part, until no large node is left.
 
     A pair of similarity 0.75 meets in 9 of 12 nodes of the first level on average, and in none with probability 6e-8;
-    in a large node it can only be missed where exactly one of the two leaves with the leader, or, with
-    probability 0.01, where the branches part it. What the trees miss is bounded by all 12 missing it.
+    branches part it with probability 0.01 in each large node. A link is left out on purpose only if one of its two
+    has left with a leader it is linked to. By the triangle inequality the other's similarity to that leader is
+    0.62 or more; it keeps its links to all that have not left.
     """
     narrow = stored(sets.select("member", "n", "sketch"), "sketches")
     level, found = 1, []
@@ -115,23 +136,21 @@ def candidates(sets: DataFrame, small: int = SMALL) -> DataFrame:
         F.xxhash64("tree", "token").alias("node"), "member")
     while True:
         rows = cut_lineage(rows)
-        order = F.xxhash64("node", "member")
-        nodes = rows.groupBy("node").agg(
-            F.count("*").alias("size"), F.min(F.struct(order.alias("place"), "member")).alias("first")).where("size > 1")
-        placed = cut_lineage(rows.join(nodes, "node").select(
-            "node", "member", "size", F.col("first.member").alias("leader")))
+        nodes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        placed = cut_lineage(rows.join(nodes, "node").select("node", "member", "size"))
         few = placed.where(F.col("size") <= small).select("node", "member")
         pairs = few.alias("x").join(few.alias("y"), "node").where("x.member < y.member").select(
             F.col("x.member").alias("a"), F.col("y.member").alias("b"))
-        large = placed.where(F.col("size") > small)
+        large = cut_lineage(with_leaders(placed.where(F.col("size") > small).select("node", "member"), narrow))
         led = large.where("member <> leader").select(
             F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b"))
         left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
         right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
-        alike = cut_lineage(pairs.union(led).distinct().join(left, "a").join(right, "b").where(
-            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).where(
-            agreement("left", "right") >= ESTIMATE).select("a", "b"))
-        found.append(alike)
+        alike = cut_lineage(pairs.union(led).distinct().join(left, "a").join(right, "b").withColumn(
+            "estimate", agreement("left", "right")).where(F.col("estimate") >= ESTIMATE).where(
+            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).select("a", "b", "estimate"))
+        found.append(alike.select("a", "b"))
+        alike = alike.where(F.col("estimate") >= LEAVE)
         close = alike.select(F.col("a").alias("member"), F.col("b").alias("leader")).union(
             alike.select(F.col("b").alias("member"), F.col("a").alias("leader")))
         rest = cut_lineage(large.where("member <> leader").join(close, ["member", "leader"], "left_anti").select("node", "member"))
