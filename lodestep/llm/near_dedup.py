@@ -26,7 +26,7 @@ SMALL = 16
 #: Least estimated similarity of a pair worth an exact comparison: 5 standard deviations below 0.75.
 ESTIMATE = 0.53
 #: Estimated similarity to the leader from which on a member leaves a large node with it.
-LEAVE = 0.78
+LEAVE = 0.7
 #: Minwise tokens by which a large node's leader is chosen.
 VOTES = 16
 
