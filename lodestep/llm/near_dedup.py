@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,13 @@ TREES = 12
 #: Branches of a large node, and the tokens that must agree along a branch.
 BRANCHES = 8
 PATH = 3
-#: Nodes up to this size are compared exhaustively.
+#: Nodes with up to so many members outside their most frequent component are compared exhaustively.
 SMALL = 16
 #: Least estimated similarity of a pair worth an exact comparison: 5 standard deviations below 0.75.
 ESTIMATE = 0.53
-#: Estimated similarity to the leader from which on a member leaves a large node with it.
-LEAVE = 0.7
 #: Minwise tokens by which a large node's leader is chosen.
 VOTES = 16
 
-SETS = "row long, doc_id long, n long, digest string, shingles binary"
 SKETCHES = "doc_id long, n long, digest string, sketch array<int>"
 
 
@@ -82,9 +79,10 @@ def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
+            sets = [shingle_hashes(text).tobytes() for text in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                part.column("member"), pa.array([shingle_hashes(x).tobytes() for x in part.column("text").to_pylist()], pa.binary()),
-            ], names=["member", "shingles"])
+                part.column("member"), pa.array([xxhash.xxh3_128_hexdigest(x) for x in sets], pa.string()), pa.array(sets, pa.binary()),
+            ], names=["member", "digest", "shingles"])
 
 
 def overlap_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,46 +114,75 @@ def with_leaders(large: DataFrame, narrow: DataFrame) -> DataFrame:
     return large.join(leaders.select("node", F.col("best.member").alias("leader")), "node")
 
 
-def candidates(sets: DataFrame, small: int = SMALL) -> DataFrame:
-    """``a, b`` (a < b): pairs of ``member, n, sketch`` that meet in a node and may be similar enough.
+def several_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``node, member, label, size, common, others``: nodes whose members lie in several components.
 
-    The root branches into a node per tree and minwise token. A node of up to ``small`` members compares them
-    all. A larger one compares all with one member, its leader, the one most like the majority. Those that are
-    clearly similar to it (``LEAVE``) leave, the others branch again along ``BRANCHES`` paths, each of ``PATH`` further tokens
-    chosen by the node's level (one more from the third level on), so unlike members that share a passage
-    part, until no large node is left.
+    ``label`` is a member's component as far as known, ``common`` the most frequent one in the node, ``others`` how many have another.
+    """
+    named = rows.withColumn("label", F.col("member")) if labels is None else rows.join(
+        labels.select(F.col("id").alias("member"), F.col("component")), "member", "left").select(
+        "node", "member", F.coalesce("component", "member").alias("label"))
+    named = cut_lineage(named)
+    nodes = named.groupBy("node", "label").count().groupBy("node").agg(
+        F.sum("count").alias("size"), F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
+    return cut_lineage(named.join(nodes.select(
+        "node", "size", F.col("most.label").alias("common"), (F.col("size") - F.col("most.count")).alias("others")), "node"))
+
+
+def exhaustive(placed: DataFrame, small: int) -> DataFrame:
+    """``a, b``: pairs of different components in nodes where at most ``small`` members are outside the most frequent one.
+
+    At most ``small`` times a node's size, however many members the frequent component has.
+    """
+    few = placed.where(F.col("others") <= small)
+    rare = few.where("label <> common").select("node", F.col("member").alias("one"), F.col("label").alias("rare_label"))
+    return rare.join(few.select("node", "member", "label", "common"), "node").where(
+        "rare_label <> label and (label = common or one < member)").select(
+        F.least("one", "member").alias("a"), F.greatest("one", "member").alias("b"))
+
+
+def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small: int = SMALL) -> list[DataFrame]:
+    """Tables of links between rows of ``member, n, sketch`` that together have the components of all links.
+
+    The root branches into a node per tree and minwise token. In each level ``confirm`` compares the candidates' whole sets, and
+    the components of all links so far are found: pairs within one need no comparing, so a node whose members lie in
+    one component is done. A node with up to ``small`` members outside its most frequent component compares
+    those with all others. A larger one compares all with one member, its leader, the one most like the majority;
+    the others branch again along ``BRANCHES`` paths, each of ``PATH`` further tokens chosen by the node's level (one
+    more from the third level on), so unlike members that share a passage part, until no node is left.
 
     A pair of similarity 0.75 meets in 9 of 12 nodes of the first level on average, and in none with probability 6e-8;
-    branches part it with probability 0.01 in each large node. A link is left out on purpose only if one of its two
-    has left with a leader it is linked to. By the triangle inequality the other's similarity to that leader is
-    0.62 or more; it keeps its links to all that have not left.
+    branches part it with probability 0.01 in each large node.
     """
     narrow = stored(sets.select("member", "n", "sketch"), "sketches")
-    level, found = 1, []
+    level, found, tried, labels = 1, [], None, None
     rows = narrow.select("member", F.posexplode(F.slice("sketch", 1, TREES)).alias("tree", "token")).select(
         F.xxhash64("tree", "token").alias("node"), "member")
+    left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
+    right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
     while True:
-        rows = cut_lineage(rows)
-        nodes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        placed = cut_lineage(rows.join(nodes, "node").select("node", "member", "size"))
-        few = placed.where(F.col("size") <= small).select("node", "member")
-        pairs = few.alias("x").join(few.alias("y"), "node").where("x.member < y.member").select(
-            F.col("x.member").alias("a"), F.col("y.member").alias("b"))
-        large = cut_lineage(with_leaders(placed.where(F.col("size") > small).select("node", "member"), narrow))
-        led = large.where("member <> leader").select(
+        placed = several_components(rows, labels)
+        large = cut_lineage(with_leaders(placed.where(F.col("others") > small).select("node", "member", "label"), narrow))
+        leaders = large.where("member = leader").select("node", F.col("label").alias("leader_label"))
+        led = large.join(leaders, "node").where("label <> leader_label").select(
             F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b"))
-        left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
-        right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
-        alike = cut_lineage(pairs.union(led).distinct().join(left, "a").join(right, "b").withColumn(
-            "estimate", agreement("left", "right")).where(F.col("estimate") >= ESTIMATE).where(
-            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).select("a", "b", "estimate"))
-        found.append(alike.select("a", "b"))
-        alike = alike.where(F.col("estimate") >= LEAVE)
-        close = alike.select(F.col("a").alias("member"), F.col("b").alias("leader")).union(
-            alike.select(F.col("b").alias("member"), F.col("a").alias("leader")))
-        rest = cut_lineage(large.where("member <> leader").join(close, ["member", "leader"], "left_anti").select("node", "member"))
+        pairs = exhaustive(placed, small).union(led).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        alike = cut_lineage(pairs.join(left, "a").join(right, "b").where(
+            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).where(
+            agreement("left", "right") >= ESTIMATE).select("a", "b"))
+        tried = alike if tried is None else tried.union(alike)
+        if not alike.isEmpty():
+            found.append(confirm(alike))
+        rest = large.where("member <> leader").select("node", "member")
         if rest.isEmpty():
             break
+        if found:
+            # Stars of the components so far stand for the links they came from.
+            fresh = found[-1].select("a", "b")
+            labels = components(fresh if labels is None else fresh.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+            labels = cut_lineage(labels)
         level += 1
         width = PATH + max(0, level - 3)
 
@@ -163,36 +190,51 @@ def candidates(sets: DataFrame, small: int = SMALL) -> DataFrame:
             picks = np.random.default_rng([at, branch]).choice(SKETCH, tokens, replace=False)
             return F.xxhash64("node", F.lit(branch), *(F.get("sketch", F.lit(int(i))) for i in picks))
 
-        rows = rest.join(narrow.select("member", "sketch"), "member").select(
+        # Nodes done by the new links do not branch.
+        open_nodes = several_components(rest, labels).select("node", "member")
+        rows = open_nodes.join(narrow.select("member", "sketch"), "member").select(
             F.explode(F.array(*(path(i) for i in range(BRANCHES)))).alias("node"), "member")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    return pairs.distinct()
+    return found
 
 
 def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Classes and links: ``doc_id, n, member`` per row, and ``a, b, n_a, n_b, shared`` per link of unlike sets.
+    """Classes and links: ``doc_id, n, member`` per row, and ``a, b, n_a, n_b, shared`` per confirmed link of unlike sets.
 
     Rows with equal shingle sets form a class, known by its smallest id; ``member`` is that id, null without
-    shingles. Links are pairs of classes whose sets share ``percent`` of their union or more, confirmed on whole sets.
+    shingles. Links are pairs of classes whose sets share ``percent`` of their union or more, confirmed on whole sets;
+    pairs that others have put into one component before they met are left out.
     """
     sketched = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch_batches, SKETCHES), "sets")
     classes = sketched.where("n > 0 and doc_id is not null").groupBy("digest", "n").agg(
         F.min("doc_id").alias("member"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "classes")
-    pairs = cut_lineage(candidates(classes))
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct(), "wanted")
-    needed = classes.join(wanted, "member").select("digest", "n", "member")
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), "text").join(wanted, "member", "left_semi")
-    # An id that stands for several rows may have several sets; the class tells which.
-    sets = stored(texts.mapInArrow(set_batches, "member long, shingles binary").dropDuplicates(["member", "shingles"]).withColumn(
-        "n", (F.octet_length("shingles") / 8).cast("long")).join(needed.select("member", "n").distinct(), ["member", "n"]), "shingles")
-    both = pairs.join(sets.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("left")), "a")
-    both = both.join(sets.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("right")), "b")
-    shared = both.select("a", "b", "n_a", "n_b", "left", "right").mapInArrow(
-        overlap_batches, "a long, b long, n_a long, n_b long, shared long")
-    links = cut_lineage(shared.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("member"), "text")
+    known: list[DataFrame] = []
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        """The links among ``a, b``. Whole sets are made once for each class that is in a candidate."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct()
+        for earlier in known:
+            wanted = wanted.join(earlier.select("member"), "member", "left_anti")
+        wanted = stored(wanted, "wanted")
+        # An id that stands for several rows may have several sets; the digest tells which is the class's.
+        digests = classes.join(wanted, "member").select("member", "digest")
+        known.append(stored(texts.join(wanted, "member", "left_semi").mapInArrow(
+            set_batches, "member long, digest string, shingles binary").join(digests, ["member", "digest"]).dropDuplicates(
+            ["member"]).select("member", (F.octet_length("shingles") / 8).cast("long").alias("n"), "shingles"), "shingles"))
+        sets = known[0]
+        for later in known[1:]:
+            sets = sets.union(later)
+        both = pairs.join(sets.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("left")), "a")
+        both = both.join(sets.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("right")), "b")
+        shared = both.select("a", "b", "n_a", "n_b", "left", "right").mapInArrow(
+            overlap_batches, "a long, b long, n_a long, n_b long, shared long")
+        return cut_lineage(shared.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))))
+
+    found = links_of(classes, confirm)
+    links = docs.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
+    for more in found:
+        links = links.union(more)
     rows = sketched.join(classes.select("digest", "n", "member"), ["digest", "n"], "left").select("doc_id", "n", "member")
     return rows, links
 

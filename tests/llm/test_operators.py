@@ -271,6 +271,21 @@ def test_near_duplicates(spark, data, docs_of):
     assert kept.columns == made.columns and {row["doc_id"] for row in kept.collect()} == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_near_duplicates_chains(spark, docs_of):
+    """Copies of copies drift from the first text, so most members of the large nodes are linked to few others."""
+    random = np.random.default_rng(1)
+    rows = []
+    for size, drift in ((150, True), (60, False)):
+        base = [f"w{i}" for i in random.integers(0, 5000, 150)]
+        words = base
+        for _ in range(size):
+            words = [f"v{random.integers(10**9)}" if random.random() < .02 else word for word in (words if drift else base)]
+            rows.append((len(rows), " ".join(words), None, None))
+    rows = [(int(i), *rows[j][1:]) for i, j in enumerate(random.permutation(len(rows)))]
+    got = {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in near_dedup.near_duplicates(docs_of(rows)).collect()}
+    assert got == brute_components([(row[0], row[1]) for row in rows])
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = {row["id"]: row["component"] for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
