@@ -76,13 +76,17 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole sets of ``member, text, class_digest`` where they are the class's."""
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
-            sets = [shingle_hashes(text).tobytes() for text in part.column("text").to_pylist()]
+            rows = zip(*(part.column(name).to_pylist() for name in ("member", "text", "class_digest")))
+            sets = [(member, hashes) for member, text, digest in rows
+                    if xxhash.xxh3_128_hexdigest((hashes := shingle_hashes(text)).tobytes()) == digest]
             yield pa.RecordBatch.from_arrays([
-                part.column("member"), pa.array([xxhash.xxh3_128_hexdigest(x) for x in sets], pa.string()), pa.array(sets, pa.binary()),
-            ], names=["member", "digest", "shingles"])
+                pa.array([member for member, _ in sets], pa.int64()), pa.array([len(hashes) for _, hashes in sets], pa.int64()),
+                pa.array([hashes.tobytes() for _, hashes in sets], pa.binary()),
+            ], names=["member", "n", "shingles"])
 
 
 def overlap_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,15 +118,12 @@ def with_leaders(large: DataFrame, narrow: DataFrame) -> DataFrame:
     return large.join(leaders.select("node", F.col("best.member").alias("leader")), "node")
 
 
-def several_components(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def several_components(rows: DataFrame) -> DataFrame:
     """``node, member, label, size, common, others``: nodes whose members lie in several components.
 
     ``label`` is a member's component as far as known, ``common`` the most frequent one in the node, ``others`` how many have another.
     """
-    named = rows.withColumn("label", F.col("member")) if labels is None else rows.join(
-        labels.select(F.col("id").alias("member"), F.col("component")), "member", "left").select(
-        "node", "member", F.coalesce("component", "member").alias("label"))
-    named = cut_lineage(named)
+    named = cut_lineage(rows)
     nodes = named.groupBy("node", "label").count().groupBy("node").agg(
         F.sum("count").alias("size"), F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
     return cut_lineage(named.join(nodes.select(
@@ -157,11 +158,11 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
     narrow = stored(sets.select("member", "n", "sketch"), "sketches")
     level, found, tried, labels = 1, [], None, None
     rows = narrow.select("member", F.posexplode(F.slice("sketch", 1, TREES)).alias("tree", "token")).select(
-        F.xxhash64("tree", "token").alias("node"), "member")
-    left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
-    right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+        F.xxhash64("tree", "token").alias("node"), "member", F.col("member").alias("label"))
     while True:
-        placed = several_components(rows, labels)
+        left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
+        right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+        placed = several_components(rows)
         large = cut_lineage(with_leaders(placed.where(F.col("others") > small).select("node", "member", "label"), narrow))
         leaders = large.where("member = leader").select("node", F.col("label").alias("leader_label"))
         led = large.join(leaders, "node").where("label <> leader_label").select(
@@ -169,20 +170,22 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
         pairs = exhaustive(placed, small).union(led).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        alike = cut_lineage(pairs.join(left, "a").join(right, "b").where(
+        alike = stored(pairs.join(left, "a").join(right, "b").where(
             F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).where(
-            agreement("left", "right") >= ESTIMATE).select("a", "b"))
+            agreement("left", "right") >= ESTIMATE).select("a", "b"), "pairs")
         tried = alike if tried is None else tried.union(alike)
         if not alike.isEmpty():
             found.append(confirm(alike))
-        rest = large.where("member <> leader").select("node", "member")
+        rest = large.where("member <> leader").select("node", "member", "label")
         if rest.isEmpty():
             break
         if found:
             # Stars of the components so far stand for the links they came from.
             fresh = found[-1].select("a", "b")
             labels = components(fresh if labels is None else fresh.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-            labels = cut_lineage(labels)
+            labels = stored(labels, "labels")
+            rest = rest.join(labels.withColumnRenamed("id", "member"), "member", "left").select(
+                "node", "member", F.coalesce("component", "label").alias("label"))
         level += 1
         width = PATH + max(0, level - 3)
 
@@ -191,9 +194,11 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
             return F.xxhash64("node", F.lit(branch), *(F.get("sketch", F.lit(int(i))) for i in picks))
 
         # Nodes done by the new links do not branch.
-        open_nodes = several_components(rest, labels).select("node", "member")
+        open_nodes = several_components(rest).select("node", "member", "label")
+        # Only what is still open moves in the next level.
+        narrow = stored(narrow.join(stored(open_nodes.select("member").distinct(), "open"), "member", "left_semi"), "sketches")
         rows = open_nodes.join(narrow.select("member", "sketch"), "member").select(
-            F.explode(F.array(*(path(i) for i in range(BRANCHES)))).alias("node"), "member")
+            F.explode(F.array(*(path(i) for i in range(BRANCHES)))).alias("node"), "member", "label")
     return found
 
 
@@ -213,18 +218,18 @@ def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The links among ``a, b``. Whole sets are made once for each class that is in a candidate."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct()
+        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct(), "wanted")
+        fresh = wanted
         for earlier in known:
-            wanted = wanted.join(earlier.select("member"), "member", "left_anti")
-        wanted = stored(wanted, "wanted")
+            fresh = fresh.join(earlier.select("member"), "member", "left_anti")
         # An id that stands for several rows may have several sets; the digest tells which is the class's.
-        digests = classes.join(wanted, "member").select("member", "digest")
-        known.append(stored(texts.join(wanted, "member", "left_semi").mapInArrow(
-            set_batches, "member long, digest string, shingles binary").join(digests, ["member", "digest"]).dropDuplicates(
-            ["member"]).select("member", (F.octet_length("shingles") / 8).cast("long").alias("n"), "shingles"), "shingles"))
+        fresh = stored(classes.join(fresh, "member").select("member", F.col("digest").alias("class_digest")), "fresh")
+        known.append(stored(texts.join(fresh, "member").mapInArrow(
+            set_batches, "member long, n long, shingles binary").dropDuplicates(["member"]), "shingles"))
         sets = known[0]
         for later in known[1:]:
             sets = sets.union(later)
+        sets = sets.join(wanted, "member", "left_semi")
         both = pairs.join(sets.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("left")), "a")
         both = both.join(sets.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("right")), "b")
         shared = both.select("a", "b", "n_a", "n_b", "left", "right").mapInArrow(
