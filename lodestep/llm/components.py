@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestep.session import cut_lineage
+from lodestep.session import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     rounds grow with the logarithm of the longest path. A hub's links are grouped by partial minima and joined,
     never gathered; a skewed join is split. Self-links are ignored.
     """
-    edges = cut_lineage(links.where("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = stored(links.where("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
         both = edges.union(edges.select(F.col("v"), F.col("u")))
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lows, F.col("u") == F.col("id")).select(
             F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").union(
             lows.select(F.col("id").alias("u"), F.col("low").alias("v"))).distinct()
-        edges = cut_lineage(small)
+        edges = stored(small, "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

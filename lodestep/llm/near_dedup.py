@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestep.llm.components import components
-from lodestep.session import cut_lineage, stored
+from lodestep.session import stored
 
 SHINGLE = 5
 #: Minwise tokens per set; each is the smallest under a hash function of its own.
@@ -25,10 +26,10 @@ PATH = 3
 SMALL = 16
 #: Least estimated similarity of a pair worth an exact comparison: 5 standard deviations below 0.75.
 ESTIMATE = 0.53
-#: Minwise tokens by which a large node's leader is chosen.
+#: Marks by which a large node's leader is chosen.
 VOTES = 16
 
-SKETCHES = "doc_id long, n long, digest string, sketch array<int>"
+SKETCHES = "doc_id long, text_hash long, n long, digest string, roots array<int>, marks array<tinyint>"
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
@@ -52,7 +53,11 @@ def multipliers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(hashes: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """The smallest value of a set under each hash function, as 32 bits that name the minwise token."""
+    """The smallest value of a set under each hash function, as 32 bits that name the minwise token.
+
+    Of the first ``TREES`` all bits are kept, the roots; of each the last byte, its mark: unlike tokens have the same mark once in
+    256 cases, which raises an estimate a little and so loses nothing.
+    """
     lowest = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 4096):
         part = hashes[i:i + 4096, None] * factors + terms
@@ -68,24 +73,24 @@ def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
             sets = [shingle_hashes(text) for text in part.column("text").to_pylist()]
+            tokens = [sketch(x, factors, terms) if len(x) else np.empty(0, np.int32) for x in sets]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()),
+                part.column("doc_id"), part.column("text_hash"), pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_hexdigest(x.tobytes()) for x in sets]),
-                pa.array([sketch(x, factors, terms).tolist() if len(x) else [] for x in sets], pa.list_(pa.int32())),
-            ], names=["doc_id", "n", "digest", "sketch"])
+                pa.array([x[:TREES].tolist() for x in tokens], pa.list_(pa.int32())),
+                pa.array([x.astype(np.int8).tolist() for x in tokens], pa.list_(pa.int8())),
+            ], names=["doc_id", "text_hash", "n", "digest", "roots", "marks"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The whole sets of ``member, text, class_digest`` where they are the class's."""
+    """The whole sets of ``member, text``."""
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
-            rows = zip(*(part.column(name).to_pylist() for name in ("member", "text", "class_digest")))
-            sets = [(member, hashes) for member, text, digest in rows
-                    if xxhash.xxh3_128_hexdigest((hashes := shingle_hashes(text)).tobytes()) == digest]
+            sets = [shingle_hashes(text) for text in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([member for member, _ in sets], pa.int64()), pa.array([len(hashes) for _, hashes in sets], pa.int64()),
-                pa.array([hashes.tobytes() for _, hashes in sets], pa.binary()),
+                part.column("member"), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([x.tobytes() for x in sets], pa.binary()),
             ], names=["member", "n", "shingles"])
 
 
@@ -99,23 +104,23 @@ def overlap_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def agreement(left: str, right: str):
-    """The share of minwise tokens two sketches have in common: an estimate of their Jaccard similarity."""
+    """The share of marks two sketches have in common: an estimate of their Jaccard similarity."""
     return F.size(F.filter(F.zip_with(left, right, lambda x, y: x == y), lambda same: same)) / F.lit(SKETCH)
 
 
 def with_leaders(large: DataFrame, narrow: DataFrame) -> DataFrame:
-    """``node, member, leader``: the leader agrees most with the most frequent minwise tokens of the node's members.
+    """``node, member, label, leader``: the leader agrees most with the most frequent marks of the node's members.
 
     So the text that others are copies of leads, if it is among them, and most copies are linked to it at once.
     """
-    voters = cut_lineage(large.join(narrow.select("member", F.slice("sketch", 1, VOTES).alias("head")), "member"))
-    votes = voters.select("node", F.posexplode("head").alias("place", "token")).groupBy("node", "place", "token").count()
-    winners = votes.groupBy("node", "place").agg(F.max(F.struct("count", "token")).alias("most")).groupBy("node").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "most.token"))), lambda x: x["token"]).alias("majority"))
+    voters = stored(large.join(narrow.select("member", F.slice("marks", 1, VOTES).alias("head")), "member"), "voters")
+    votes = voters.select("node", F.posexplode("head").alias("place", "mark")).groupBy("node", "place", "mark").count()
+    winners = votes.groupBy("node", "place").agg(F.max(F.struct("count", "mark")).alias("most")).groupBy("node").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "most.mark"))), lambda x: x["mark"]).alias("majority"))
     agree = F.size(F.filter(F.zip_with("head", "majority", lambda x, y: x == y), lambda same: same))
     leaders = voters.join(winners, "node").groupBy("node").agg(
         F.max(F.struct(agree.alias("agree"), F.xxhash64("node", "member").alias("tie"), "member")).alias("best"))
-    return large.join(leaders.select("node", F.col("best.member").alias("leader")), "node")
+    return stored(voters.drop("head").join(leaders.select("node", F.col("best.member").alias("leader")), "node"), "led")
 
 
 def several_components(rows: DataFrame) -> DataFrame:
@@ -123,11 +128,10 @@ def several_components(rows: DataFrame) -> DataFrame:
 
     ``label`` is a member's component as far as known, ``common`` the most frequent one in the node, ``others`` how many have another.
     """
-    named = cut_lineage(rows)
-    nodes = named.groupBy("node", "label").count().groupBy("node").agg(
+    nodes = rows.groupBy("node", "label").count().groupBy("node").agg(
         F.sum("count").alias("size"), F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
-    return cut_lineage(named.join(nodes.select(
-        "node", "size", F.col("most.label").alias("common"), (F.col("size") - F.col("most.count")).alias("others")), "node"))
+    return stored(rows.join(nodes.select(
+        "node", "size", F.col("most.label").alias("common"), (F.col("size") - F.col("most.count")).alias("others")), "node"), "placed")
 
 
 def exhaustive(placed: DataFrame, small: int) -> DataFrame:
@@ -142,28 +146,43 @@ def exhaustive(placed: DataFrame, small: int) -> DataFrame:
         F.least("one", "member").alias("a"), F.greatest("one", "member").alias("b"))
 
 
+def hub_pairs(alike: DataFrame, least: float = 0.75) -> DataFrame:
+    """``a, b``: each member with the best of its candidates, if that is better than itself: the one with most candidates.
+
+    Only candidates estimated at ``least`` count. In a group of copies most choose one and the same, so as many
+    comparisons as members put most groups together. Better is an order, so there are no cycles.
+    """
+    close = alike.where(F.col("estimate") >= least)
+    ends = close.select("a", "b").union(close.select(F.col("b"), F.col("a")))
+    rank = ends.groupBy(F.col("a").alias("member")).agg(F.struct(F.count("*").alias("links"), (-F.col("a")).alias("tie")).alias("rank"))
+    other = rank.select(F.col("member").alias("b"), F.col("rank").alias("other_rank"))
+    return ends.join(rank.withColumnRenamed("member", "a"), "a").join(other, "b").where("other_rank > rank").groupBy("a").agg(
+        F.max(F.struct("other_rank", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+
+
 def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small: int = SMALL) -> list[DataFrame]:
-    """Tables of links between rows of ``member, n, sketch`` that together have the components of all links.
+    """Tables of links between rows of ``member, n, roots, marks`` that together have the components of all links.
 
     The root branches into a node per tree and minwise token. In each level ``confirm`` compares the candidates' whole sets, and
     the components of all links so far are found: pairs within one need no comparing, so a node whose members lie in
     one component is done. A node with up to ``small`` members outside its most frequent component compares
     those with all others. A larger one compares all with one member, its leader, the one most like the majority;
     the others branch again along ``BRANCHES`` paths, each of ``PATH`` further tokens chosen by the node's level (one
-    more from the third level on), so unlike members that share a passage part, until no node is left.
+    more from the third level on), so unlike members that share a passage part, until no node is left. Of a level's candidates
+    each member's best is compared first; then only those that this has not put together.
 
     A pair of similarity 0.75 meets in 9 of 12 nodes of the first level on average, and in none with probability 6e-8;
     branches part it with probability 0.01 in each large node.
     """
-    narrow = stored(sets.select("member", "n", "sketch"), "sketches")
+    narrow = sets.select("member", "n", "marks")
     level, found, tried, labels = 1, [], None, None
-    rows = narrow.select("member", F.posexplode(F.slice("sketch", 1, TREES)).alias("tree", "token")).select(
+    rows = sets.select("member", F.posexplode("roots").alias("tree", "token")).select(
         F.xxhash64("tree", "token").alias("node"), "member", F.col("member").alias("label"))
     while True:
-        left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
-        right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+        left = narrow.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("marks").alias("left"))
+        right = narrow.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("marks").alias("right"))
         placed = several_components(rows)
-        large = cut_lineage(with_leaders(placed.where(F.col("others") > small).select("node", "member", "label"), narrow))
+        large = with_leaders(placed.where(F.col("others") > small).select("node", "member", "label"), narrow)
         leaders = large.where("member = leader").select("node", F.col("label").alias("leader_label"))
         led = large.join(leaders, "node").where("label <> leader_label").select(
             F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b"))
@@ -171,19 +190,35 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         alike = stored(pairs.join(left, "a").join(right, "b").where(
-            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).where(
-            agreement("left", "right") >= ESTIMATE).select("a", "b"), "pairs")
-        tried = alike if tried is None else tried.union(alike)
+            F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75).withColumn(
+            "estimate", agreement("left", "right")).where(F.col("estimate") >= ESTIMATE).select("a", "b", "estimate"), "pairs")
+        tried = alike.select("a", "b") if tried is None else tried.union(alike.select("a", "b"))
+        fresh = []
         if not alike.isEmpty():
-            found.append(confirm(alike))
+            hubs, others = stored(hub_pairs(alike), "hubs"), alike.select("a", "b")
+            if not hubs.isEmpty():
+                fresh.append(confirm(hubs))
+                # Whom two confirmed steps lead to: members with the same one are in one component already.
+                up = fresh[0].select(F.col("a").alias("member"), F.col("b").alias("hub"))
+                top = up.join(up.select(F.col("member").alias("hub"), F.col("hub").alias("next")), "hub", "left").select(
+                    "member", F.coalesce("next", "hub").alias("top"))
+                through = [top.select(F.col("member").alias(end), F.col("top").alias(f"top_{end}")) for end in "ab"]
+                met = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                others = others.join(met, ["a", "b"], "left_anti").join(through[0], "a", "left").join(through[1], "b", "left")
+                others = stored(others.where(F.coalesce("top_a", "a") != F.coalesce("top_b", "b")).select("a", "b"), "others")
+            if not others.isEmpty():
+                fresh.append(confirm(others))
+            fresh = [more for more in fresh if not more.isEmpty()]
+            found += fresh
         rest = large.where("member <> leader").select("node", "member", "label")
         if rest.isEmpty():
             break
-        if found:
+        if fresh:
             # Stars of the components so far stand for the links they came from.
-            fresh = found[-1].select("a", "b")
-            labels = components(fresh if labels is None else fresh.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-            labels = stored(labels, "labels")
+            joined = [more.select("a", "b") for more in fresh]
+            if labels is not None:
+                joined.append(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            labels = stored(components(reduce(DataFrame.union, joined)), "labels")
             rest = rest.join(labels.withColumnRenamed("id", "member"), "member", "left").select(
                 "node", "member", F.coalesce("component", "label").alias("label"))
         level += 1
@@ -191,14 +226,14 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
 
         def path(branch: int, at: int = level, tokens: int = width):
             picks = np.random.default_rng([at, branch]).choice(SKETCH, tokens, replace=False)
-            return F.xxhash64("node", F.lit(branch), *(F.get("sketch", F.lit(int(i))) for i in picks))
+            return F.xxhash64("node", F.lit(branch), *(F.get("marks", F.lit(int(i))) for i in picks))
 
         # Nodes done by the new links do not branch.
         open_nodes = several_components(rest).select("node", "member", "label")
         # Only what is still open moves in the next level.
         narrow = stored(narrow.join(stored(open_nodes.select("member").distinct(), "open"), "member", "left_semi"), "sketches")
-        rows = open_nodes.join(narrow.select("member", "sketch"), "member").select(
-            F.explode(F.array(*(path(i) for i in range(BRANCHES)))).alias("node"), "member", "label")
+        rows = stored(open_nodes.join(narrow.select("member", "marks"), "member").select(
+            F.explode(F.array(*(path(i) for i in range(BRANCHES)))).alias("node"), "member", "label"), "branches")
     return found
 
 
@@ -209,32 +244,32 @@ def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame
     shingles. Links are pairs of classes whose sets share ``percent`` of their union or more, confirmed on whole sets;
     pairs that others have put into one component before they met are left out.
     """
-    sketched = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch_batches, SKETCHES), "sets")
-    classes = sketched.where("n > 0 and doc_id is not null").groupBy("digest", "n").agg(
-        F.min("doc_id").alias("member"), F.first("sketch").alias("sketch"))
-    classes = stored(classes, "classes")
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sketched = stored(texts.mapInArrow(sketch_batches, SKETCHES), "sets")
+    # An id may stand for several rows with several texts; the hash tells which is the class's.
+    classes = stored(sketched.where("n > 0 and doc_id is not null").groupBy("digest", "n").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("roots").alias("roots"), F.first("marks").alias("marks")).select(
+        "digest", "n", F.col("least.doc_id").alias("member"), F.col("least.text_hash").alias("text_hash"), "roots", "marks"), "classes")
+    chosen = classes.select("member", "text_hash")
     known: list[DataFrame] = []
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The links among ``a, b``. Whole sets are made once for each class that is in a candidate."""
-        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct(), "wanted")
-        fresh = wanted
+        fresh = pairs.select(F.explode(F.array("a", "b")).alias("member")).distinct()
         for earlier in known:
             fresh = fresh.join(earlier.select("member"), "member", "left_anti")
-        # An id that stands for several rows may have several sets; the digest tells which is the class's.
-        fresh = stored(classes.join(fresh, "member").select("member", F.col("digest").alias("class_digest")), "fresh")
-        known.append(stored(texts.join(fresh, "member").mapInArrow(
-            set_batches, "member long, n long, shingles binary").dropDuplicates(["member"]), "shingles"))
-        sets = known[0]
-        for later in known[1:]:
-            sets = sets.union(later)
-        sets = sets.join(wanted, "member", "left_semi")
-        both = pairs.join(sets.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("left")), "a")
-        both = both.join(sets.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("right")), "b")
+        fresh = stored(chosen.join(fresh, "member").withColumnsRenamed({"member": "doc_id"}), "fresh")
+        if not fresh.isEmpty():
+            rows = texts.join(fresh, ["doc_id", "text_hash"]).select(F.col("doc_id").alias("member"), "text")
+            known.append(stored(rows.dropDuplicates(["member", "text"]).mapInArrow(
+                set_batches, "member long, n long, shingles binary"), "shingles"))
+        sets = reduce(DataFrame.union, known)
+        ones, others = (sets.join(pairs.select(F.col(end).alias("member")), "member", "left_semi") for end in "ab")
+        both = pairs.select("a", "b").join(ones.select(F.col("member").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("left")), "a")
+        both = both.join(others.select(F.col("member").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("right")), "b")
         shared = both.select("a", "b", "n_a", "n_b", "left", "right").mapInArrow(
             overlap_batches, "a long, b long, n_a long, n_b long, shared long")
-        return cut_lineage(shared.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))))
+        return stored(shared.where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))), "links")
 
     found = links_of(classes, confirm)
     links = docs.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
