@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +82,11 @@ def bootstrap_range(series: DataFrame, target_year: int = 2030, draws: int = 200
 
     Weights come from hashes, so a rerun or a lost executor gives the same draws.
     """
-    uniform = F.pmod(F.xxhash64("skill_id", "year", "draw", F.lit(seed)), F.lit(1 << 24)) / float(1 << 24)
-    cumulative = (0.36788, 0.73576, 0.91970, 0.98101, 0.99634)   # Poisson(1)
+    steps = 1 << 24
+    uniform = F.pmod(F.xxhash64("skill_id", "year", "draw", F.lit(seed)), F.lit(steps)) / float(steps)
+    # Poisson(1), as far as the steps of the hash tell weights apart.
+    shares = [math.exp(-1) / math.factorial(k) for k in range(20)]
+    cumulative = [limit for limit in itertools.accumulate(shares) if limit <= 1 - 1 / steps]
     weight = sum((F.when(uniform >= limit, 1).otherwise(0) for limit in cumulative), F.lit(0))
     x, y, w = F.col("year") - F.lit(target_year), F.col("usage"), F.col("w")
     sums = (

@@ -23,6 +23,11 @@ def csv_names(spark: SparkSession, folder: str) -> list[str]:
     return [row["path"] for row in paths]
 
 
+def file_name() -> Column:
+    """The name of a row's file as the folder shows it; Spark gives it escaped, and leaves ``+`` as it is."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def read_csv(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
     """Text columns of files that share a header, with ``source``, the file name, and ``row_no``.
 
@@ -39,7 +44,7 @@ def read_csv(spark: SparkSession, paths: list[str], header: list[str]) -> DataFr
     )
     cells = [F.when(~F.col(f"`{name}`").isin(fixed.MISSING_CELLS), F.col(f"`{name}`")).alias(name) for name in header]
     row_no = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return rows.select(*cells, _SURPLUS, F.col("_metadata.file_name").alias("source"), row_no.alias("row_no")).filter(
+    return rows.select(*cells, _SURPLUS, file_name().alias("source"), row_no.alias("row_no")).filter(
         F.col(_SURPLUS).isNull()).drop(_SURPLUS)
 
 
@@ -84,8 +89,9 @@ def read_postings(spark: SparkSession, folder: str,
     texts = [name for name in candidates if name != "exp_min"]
     files = [(path.rsplit("/", 1)[-1], place) for place, path in enumerate(csv_names(spark, folder))]
     places = spark.createDataFrame(files, "source string, _place long")
-    posting = F.shiftleft("_place", _ROW_BITS) + F.col("row_no")
-    typed = rows.join(places, "source").withColumns({"exp_min": to_number(F.col("exp_min")), "posting": posting})
+    unknown = F.raise_error(F.concat(F.lit("a file that was not listed: "), F.col("source"))).cast("long")
+    posting = F.shiftleft(F.coalesce("_place", unknown), _ROW_BITS) + F.col("row_no")
+    typed = rows.join(places, "source", "left").withColumns({"exp_min": to_number(F.col("exp_min")), "posting": posting})
     return blank_texts(typed.drop("_place", "row_no"), texts)
 
 

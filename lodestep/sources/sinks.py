@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-MAX_ARRAY_RECORDS = 100_000
-
+from lodestep.session import stored
 
 def write_records(records: DataFrame, path: str, form: str = "json") -> None:
     """One record per line, written by all tasks; folders are made as needed."""
     records.write.mode("overwrite").format(form).save(path)
 
 
-def write_record_array(records: DataFrame, path: str, order: list[str | Column],
-                       max_records: int = MAX_ARRAY_RECORDS) -> None:
-    """One JSON array in one text file, for results no longer than a skill dictionary.
+def write_record_array(records: DataFrame, path: str, order: list[str | Column]) -> None:
+    """One JSON array over the text files of ``path``: read in name order, one after the other, they are the array.
 
-    More than ``max_records`` is refused, as an array is built in one task.
+    Rows are sorted by ranges and turned to text where they lie, so any number of records can be written. The numbering is
+    stored before the first row is looked up, so a task that runs again changes nothing.
     """
-    if records.limit(max_records + 1).count() > max_records:
-        raise ValueError(f"more than {max_records} records; use write_records")
-    place = [column if isinstance(column, Column) else F.col(column) for column in order]
-    listed = F.array_sort(F.collect_list(F.struct(*[c.alias(f"_{i}") for i, c in enumerate(place)],
-                                                  F.struct(*records.columns).alias("record"))))
-    array = records.agg(F.to_json(F.transform(listed, lambda x: x["record"]), {"ignoreNullFields": "false"}).alias("value"))
-    array.coalesce(1).write.mode("overwrite").text(path)
+    lines = records.orderBy(*order).select(
+        F.to_json(F.struct(*[f"`{name}`" for name in records.columns]), {"ignoreNullFields": "false"}).alias("line"),
+        F.monotonically_increasing_id().alias("at"))
+    lines = stored(lines, "records")
+    first = lines.agg(F.min("at")).first()[0]
+    comma = F.when(F.col("at") == F.lit(first), "").otherwise(",")
+    ends = records.sparkSession.createDataFrame([("[", -1), ("]", (1 << 63) - 1)], "value string, at long")
+    lines.select(F.concat(comma, "line").alias("value"), "at").union(ends).orderBy("at").select("value").write.mode(
+        "overwrite").text(path)
 
 
 def observed(rows: DataFrame, stage: str, *extra: Column) -> tuple[DataFrame, Observation]:
