@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lodestep.llm import (decontamination, language, licenses, mixing, near_dedup, passages, quality, queries, token_files,
@@ -212,6 +213,31 @@ def test_passages(spark, data, docs_of):
     assert all(row["original_id"] == 1 for row in rows)
 
 
+def test_passages_chains(spark, docs_of):
+    """Edited copies of one passage whose ends differ, all in one group: most are linked to others by way of a few only."""
+    core = " ".join(f"c{i}" for i in range(16))
+    rows = [(36 * chain + 3 * i + j, f"p{chain}x{i} p{chain}y{i} {core} q{chain}x{i + j} q{chain}y{i + j}", None, None)
+            for chain in range(2) for i in range(12) for j in range(3)]
+    docs = docs_of(rows)
+    found = passages.paragraphs(docs).withColumn("bands", F.array(F.lit(7).cast("long"))).cache()
+    classes = found.groupBy("digest").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last_id"))
+    linked = components(passages.paragraph_links(docs, found, classes)).join(found, F.col("id") == F.col("digest")).collect()
+    groups = defaultdict(set)
+    for row in linked:
+        groups[row["component"]].add(row["doc_id"])
+    shingles = {i: {tuple(text.split()[k:k + 5]) for k in range(16)} for i, text, *_ in rows}
+    want, left = set(), set(shingles)
+    while left:
+        group, todo = set(), [min(left)]
+        while todo:
+            one = todo.pop()
+            group.add(one)
+            todo += [i for i in left - group if 100 * len(shingles[i] & shingles[one]) >= 75 * len(shingles[i] | shingles[one])]
+        left -= group
+        want.add(frozenset(group))
+    assert len(want) == 2 and set(map(frozenset, groups.values())) == want
+
+
 def test_licenses(spark, data, odd, docs_of):
     phrases = [(label, text.lower().replace(",", "").replace("-", " ").split()) for label, text in licenses.PHRASES]
     for docs in (documents(spark, data), odd, docs_of([
