@@ -38,7 +38,8 @@ class WordIds(dict):
 
     A byte-level tokenizer cuts a text into parts by a pattern, before each such space among others, and encodes each part by
     itself: letters with the space before them, runs of other marks. Words of letters repeat, so most are looked up; a
-    mark at a word's end is a part of its own. Texts with other white space after a space are cut by the pattern.
+    mark at a word's end is a part of its own. Texts with other white space after a space are cut by the pattern. Texts that
+    an added token may occur in are encoded whole by the tokenizer itself.
     """
 
     def __init__(self, path: str):
@@ -52,10 +53,17 @@ class WordIds(dict):
         self.tokenize, self.letters = self.tokenizer.model.tokenize, byte_letters()
         self.cut = regex.compile(public_tokenizers.PATTERN).findall
         self.marks = {mark: self.part(mark) for mark in ".,;:!?|"}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if token.content]
+        # Normalised tokens are matched in normalised text, which may hold them where the text does not.
+        self.whole = self.tokenizer.normalizer is not None and any(token.normalized for token in added)
 
     def part(self, text: str) -> bytes:
         letters = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-        ids = array(self.code, [token.id for token in self.tokenize(letters)])
+        return self.packed([token.id for token in self.tokenize(letters)])
+
+    def packed(self, found: list[int]) -> bytes:
+        ids = array(self.code, found)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
@@ -75,6 +83,8 @@ class WordIds(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if self.whole or any(content in text for content in self.added):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         first, *words = text.split(" ")
         if not all(words) or any(map(str.isspace, {word[0] for word in words})):
             return self.encode(text)

@@ -192,6 +192,18 @@ def test_words_and_whole_texts_encode_alike():
         assert np.frombuffer(words.ids(text), words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_in_texts(spark, docs_of):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "a <|endoftext| > b", "plain words", None]
+    encode = Tokenizer.from_file(PATH).encode
+    got = sorted(token_files.token_output(docs_of([(i, text, None, None) for i, text in enumerate(texts)]), PATH).collect())
+    start = 0
+    for row, text in zip(got, texts):
+        ids = encode(text or "", add_special_tokens=False).ids + [token_files.END]
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+        start += len(ids)
+    assert 50256 in encode(texts[0], add_special_tokens=False).ids
+
+
 def test_passages(spark, data, docs_of):
     docs = documents(spark, data).collect()
     shared = defaultdict(set)
