@@ -3,57 +3,69 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from math import log
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestep.llm.text import ascii_terms
+from lodestep.session import stored
 
 # Phrases that give a label by themselves.
 PHRASES = (("mit", "under the MIT License"), ("apache-2", "Apache License, Version 2"), ("cc-by-nc", "CC BY-NC"))
 
-# Notices as their licences print them, shortened; the words in brackets are mandatory.
+# Notices word for word as their licences print them, variants apart; each phrase in brackets is mandatory.
 NOTICES = (
     ("mit", "Permission is hereby granted, [free of charge], to any person obtaining a copy of this software and associated"
-            " documentation files, to deal in the Software [without restriction], including without limitation the rights to"
+            " documentation files (the \"Software\"), to deal in the Software [without restriction], including without limitation the rights to"
             " use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("apache-2", "Licensed under the [Apache License, Version 2.0]; you may not use this file except in compliance with"
+    ("apache-2", "Licensed under the [Apache License, Version 2.0] (the \"License\"); you may not use this file except in compliance with"
                  " the License. You may obtain a copy of the License at"),
     ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
               " the following conditions are met: Redistributions of source code must [retain the above copyright notice],"
               " this list of conditions and the following disclaimer"),
+    ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+              " the following conditions are met: 1. Redistributions of source code must [retain the above copyright notice],"
+              " this list of conditions and the following disclaimer"),
     ("gpl-3", "This work is licensed under the [GNU General Public License, version 3]"),
     ("gpl-3", "you can redistribute it and/or modify it under the terms of the [GNU General Public License] as published"
-              " by the Free Software Foundation, either [version 3] of the License, or any later version"),
+              " by the Free Software Foundation, either [version 3] of the License, or (at your option) any later version"),
     ("gpl-2", "you can redistribute it and/or modify it under the terms of the [GNU General Public License] as published"
-              " by the Free Software Foundation, either [version 2] of the License, or any later version"),
+              " by the Free Software Foundation, either [version 2] of the License, or (at your option) any later version"),
     ("mpl-2", "This Source Code Form is subject to the terms of the [Mozilla Public License, v. 2.0]"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
             " hereby granted, provided that the above [copyright notice and this permission notice] appear in all copies"),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is"
+            " hereby granted, provided that the above [copyright notice and this permission notice] appear in all copies"),
     ("cc-by-nc", "This work is licensed under a Creative Commons [Attribution-NonCommercial] 4.0 International License"),
     ("cc-by-sa", "This work is licensed under a Creative Commons [Attribution-ShareAlike] 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons [Attribution 4.0] International License"),
     ("unlicense", "This is free and unencumbered software [released into the public domain]"),
 )
 
-#: Least share of a notice's weight that must stand at one alignment.
+#: Least share of a notice's weight that must stand around one alignment.
 MIN_SHARE = 0.6
+#: A notice's words and further mandatory phrases may stand so many words before or after the alignment of its first mandatory phrase.
+DRIFT = 8
 #: Words of each phrase or notice that a text must have before its lists are intersected.
 RARE = 2
-POSTING = "template int, label string, phrase boolean, term string, offset int, mandatory boolean"
+POSTING = "template int, label string, phrase boolean, term string, offset int, mandatory int"
 
 
 def postings(phrases=PHRASES, notices=NOTICES) -> list[tuple]:
-    """``(template, label, phrase, term, offset, mandatory)`` for each word of the phrases and notices."""
+    """``(template, label, phrase, term, offset, mandatory)`` for each word of the phrases and notices; ``mandatory`` numbers the
+    template's mandatory phrases from 1, 0 for other words."""
     rows = []
     for template, (label, text) in enumerate([*phrases, *notices]):
-        phrase, inside, offset = template < len(phrases), False, 0
+        phrase, inside, count, offset = template < len(phrases), False, 0, 0
         for token in re.findall(r"[\[\]]|[0-9A-Za-z]+", text):
             if token in "[]":
                 inside = token == "["
+                count += inside
                 continue
-            rows.append((template, label, phrase, token.lower(), offset, phrase or inside))
+            rows.append((template, label, phrase, token.lower(), offset, 1 if phrase else count if inside else 0))
             offset += 1
     return rows
 
@@ -83,8 +95,9 @@ def license_scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, min_share: f
     """Per row: ``doc_id, text_hash, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     A phrase stands where all its words stand consecutively; ``n_base`` counts these places, whose smallest and
-    largest starts are ``first_word`` and ``last_word``, words from 0. A notice is found where at one alignment of its
-    words with the text's all mandatory words stand, and words worth ``min_share`` of its weight. ``score`` is the
+    largest starts are ``first_word`` and ``last_word``, words from 0. A notice is found where its first
+    mandatory phrase stands, the others stand too, and words worth ``min_share`` of its weight, each phrase and word at an
+    alignment at most ``DRIFT`` words off, so words put in or left out between them do no harm. ``score`` is the
     largest share of a label found, 1 for phrases, 0 without labels. Labels are distinct, sorted and comma-joined.
 
     A text is looked up for a template only if it has the template's rarest mandatory words, which any match
@@ -104,18 +117,36 @@ def license_scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES, min_share: f
     sized = sifted.select("doc_id", "text_hash", F.size("terms").cast("long").alias("n_words"),
                           F.when(F.size("templates") > 0, F.col("terms")).alias("terms"), "templates")
     table = spark.createDataFrame(index, schema)
-    totals = table.groupBy("template").agg(F.count("*").alias("length"), F.sum("weight").alias("worth"),
-                                           F.sum(F.col("mandatory").cast("int")).alias("must"))
+    totals = table.groupBy("template").agg(F.sum("weight").alias("worth"), F.max("mandatory").alias("must"))
+    lengths = table.where("mandatory > 0").groupBy("template", "mandatory").agg(F.count("*").alias("length"))
     flat = sized.where(F.col("templates").isNotNull() & F.col("terms").isNotNull()).select(
         "doc_id", "text_hash", "templates", F.posexplode_outer("terms").alias("at", "term"))
-    hits = flat.join(F.broadcast(table), "term").where(F.array_contains("templates", F.col("template"))).select(
+    # Used three times below; stored, so that texts are cut into words once.
+    hits = stored(flat.join(F.broadcast(table), "term").where(F.array_contains("templates", F.col("template"))).select(
         "doc_id", "text_hash", "template", "label", "phrase", (F.col("at") - F.col("offset")).alias("start"),
-        "offset", "mandatory", "weight").distinct()
+        "offset", "mandatory", "weight").distinct(), "hits")
     key = ["doc_id", "text_hash"]
-    aligned = hits.groupBy(*key, "template", "label", "phrase", "start").agg(
-        F.count("*").alias("n"), F.sum("weight").alias("weight"), F.sum(F.col("mandatory").cast("int")).alias("n_must"),
-    ).join(F.broadcast(totals), "template").withColumn("share", F.col("weight") / F.col("worth")).where(
-        (F.col("n_must") == F.col("must")) & (F.col("phrase") | (F.col("share") >= min_share)))
+    at = [*key, "template", "label", "phrase"]
+    # Each mandatory phrase by itself: all its words at one alignment.
+    whole = hits.where("mandatory > 0").groupBy(*at, "mandatory", "start").agg(F.count("*").alias("n")).join(
+        F.broadcast(lengths), ["template", "mandatory"]).where("n = length").drop("n", "length")
+    bases = whole.where("phrase").select(*at, "start", F.lit(1.0).alias("share"))
+    # Alignments are dealt to bins of DRIFT words, so a first phrase meets only those of its own and the two next to it.
+    own_bin = F.floor(F.col("start") / DRIFT)
+    firsts = whole.where("not phrase and mandatory = 1").select(
+        *at, F.col("start").alias("first"), F.explode(F.array(own_bin - 1, own_bin, own_bin + 1)).alias("bin"))
+    near = F.abs(F.col("start") - F.col("first")) <= DRIFT
+    parts = whole.where("not phrase").select(*at, "start", (-F.col("mandatory")).alias("part"), F.lit(0).cast("long").alias("weight")).union(
+        hits.where("not phrase").select(*at, "start", F.col("offset").alias("part"), "weight")).withColumn("bin", own_bin)
+    # The hash of a null text is a number, but an id may be null.
+    same_at = [parts[name].eqNullSafe(firsts[name]) if name == "doc_id" else parts[name] == firsts[name] for name in [*key, "template", "bin"]]
+    gathered = firsts.join(parts, reduce(and_, same_at) & near).select(
+        *(firsts[name] for name in at), "first", "part", "weight").distinct()
+    notices_found = gathered.groupBy(*at, "first").agg(
+        F.sum("weight").alias("weight"), F.count(F.when(F.col("part") < 0, 1)).alias("n_must")).join(F.broadcast(totals), "template").where(
+        F.col("n_must") == F.col("must")).select(*at, F.col("first").alias("start"), (F.col("weight") / F.col("worth")).alias("share")).where(
+        F.col("share") >= min_share)
+    aligned = bases.union(notices_found)
     # Two phrases of one label may start at one place; a place of a label counts once per phrase.
     found = aligned.groupBy(*key).agg(
         F.count(F.when(F.col("phrase"), 1)).alias("n_base"),

@@ -269,6 +269,45 @@ def test_licenses(spark, data, odd, docs_of):
         assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
 
 
+PRINTED = {
+    "mit": """Copyright (c) 2020 A. Uthor
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is""",
+    "apache-2": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "bsd-3": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.""",
+    "gpl-3": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "isc": """Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+}
+
+
+def test_licenses_as_printed(spark, docs_of):
+    wordy = PRINTED["mit"].replace("to deal", "and all of its parts, to deal")
+    split = PRINTED["mit"].replace("without restriction", "without any restriction")
+    far = PRINTED["mit"].replace("to deal", "x " * 40 + "to deal")
+    texts = [*PRINTED.values(), wordy, split, far]
+    rows = [(i, text, None, None) for i, text in enumerate(texts)] + [(None, PRINTED["mit"], None, None)]
+    got = {row["doc_id"]: (row["labels"], row["score"]) for row in licenses.license_scan(docs_of(rows)).collect()}
+    for i, label in enumerate(PRINTED):
+        assert label in got[i][0].split(",") and got[i][1] == 1, label
+    n = len(PRINTED)
+    assert got[n] == ("mit", 1) and got[n + 1] == got[n + 2] == ("", 0) and got[None] == ("mit", 1)
+
+
 def brute_components(rows):
     sets = {}
     for doc_id, text in rows:
