@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
-from test_operators import TERM, ascii_lower, brute_components
+from test_llm_operators import TERM, ascii_lower, brute_components
 from tokenizers import Tokenizer
 
 
