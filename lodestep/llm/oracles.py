@@ -40,4 +40,40 @@ SELECT page_id, CAST(n AS bigint) AS payload_bytes, digest AS payload_digest,
   CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f
 """
 
-ORACLES = {"op1_mix_sources": OP1.strip(), "op2_warc": OP2.strip(), "op4_decontamination": OP4.strip()}
+OP11 = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)),
+escaped AS (SELECT *, replace(replace(replace(text, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>') AS body,
+  replace(replace(replace(replace(role, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>'), ':', '\:') AS head FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS bigint) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### ' || head || ':' || chr(10) || body || chr(10) || '</turn>' || chr(10))) AS bigint) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+_GRAMS = " UNION ALL ".join(
+    f"SELECT lang, {k} AS k, array_to_string(array_slice(w, i, i + {k - 1}), ' ') AS phrase FROM (SELECT lang, w, unnest(generate_series(1, len(w) - {k - 1})) AS i FROM pieces)"
+    for k in range(1, 6))
+_CUTS = " UNION ALL ".join(
+    f"SELECT lang, phrase, f AS a, {cut} AS cut, array_to_string(array_slice(w, 1, {cut}), ' ') AS head, array_to_string(array_slice(w, {cut + 1}, k), ' ') AS tail FROM candidates WHERE k > {cut}"
+    for cut in range(1, 5))
+OP13 = rf"""
+WITH lowered AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, array_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM ({_GRAMS}) GROUP BY lang, k, phrase HAVING count(*) >= 100),
+candidates AS (SELECT * FROM counts WHERE k > 1),
+cuts AS ({_CUTS}),
+scored AS (SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, n, (1000 * c.a::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM cuts c JOIN counts l ON c.lang = l.lang AND c.head = l.phrase JOIN counts r ON c.lang = r.lang AND c.tail = r.phrase JOIN totals t ON c.lang = t.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (SELECT * FROM weakest s WHERE NOT EXISTS (SELECT 1 FROM candidates q WHERE q.lang = s.lang AND q.f >= s.a AND q.phrase <> s.phrase
+  AND contains(' ' || q.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS bigint) AS n, CAST(score AS bigint) AS score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op1_mix_sources": OP1.strip(), "op2_warc": OP2.strip(), "op4_decontamination": OP4.strip(),
+           "op11_chat": OP11.strip(), "op13_collocations": OP13.strip()}

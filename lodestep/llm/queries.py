@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestep.llm import decontamination, language, licenses, mixing, near_dedup, passages, quality, token_files, url_filter, warc
+from lodestep.llm import (chat, decontamination, language, licenses, mixing, near_dedup, passages, phrases, quality, spelling, token_files,
+                          url_filter, warc)
 from lodestep.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -57,4 +58,21 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+#: A conversation whose texts look like the template's own marks.
+PLANTED = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.format_and_read(rows.unionByName(spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {name: function for name, function in list(globals().items()) if name.startswith("op") and callable(function)}
