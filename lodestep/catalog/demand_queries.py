@@ -239,7 +239,18 @@ def posting_fingerprints(tables: Tables) -> DataFrame:
         F.count("*").alias("n"), F.min("posting").alias("first_posting"))
 
 
-@query("near_duplicate_postings")
+SQL_PRINT = f"""{sql_norm("title")} || ' | ' || array_to_string(list_sort(list_transform(string_split(skills, ','), lambda s: {sql_norm("s")})), ',')
+  || ' | ' || {sql_norm("description")}"""
+SQL_NAMED = f"""NOT regexp_matches(employer, '(?i){fixed.PLACEHOLDER_EMPLOYER}') AND trim(employer) <> ''
+  AND {inputs.sql_employer_key("employer")} <> ''"""
+CTE_UNIQUE = f"""
+printed AS MATERIALIZED (SELECT posting AS ord, {inputs.sql_employer_key("employer")} AS key, {SQL_PRINT} AS body FROM postings WHERE {SQL_NAMED}),
+{inputs.sql_kept_first("printed")}"""
+
+
+@query("near_duplicate_postings", f"""
+WITH RECURSIVE {inputs.CTE_POSTINGS}, {CTE_UNIQUE}
+SELECT ord AS posting, key AS employer_key FROM printed WHERE ord IN (SELECT ord FROM kept_first)""")
 def near_duplicate_postings(tables: Tables) -> DataFrame:
     return plan.unique_postings(postings(tables)).select("posting", "employer_key")
 

@@ -149,6 +149,36 @@ def sql_employer_key(text: str) -> str:
     return f"trim(regexp_replace(regexp_replace({bare}, '[^a-z0-9& ]+', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
+def sql_kept_first(rows: str, threshold: int = 90) -> str:
+    """CTEs from ``rows`` (a table of ``key, ord, body``) to ``kept_first(ord)``: keep-first removal of near-duplicates.
+
+    The longest common subsequence of what two texts do not share at their ends is folded over the second one's characters;
+    the list holds, per length, the earliest end of a common subsequence. Levenshtein's distance never exceeds the one asked
+    for, so it sorts out most pairs. The scan of a key carries the list of rows kept.
+    """
+    return f"""
+earliest AS MATERIALIZED (SELECT key, body, min(ord) AS ord FROM {rows} GROUP BY key, body),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ord) AS n FROM earliest),
+close AS MATERIALIZED (SELECT a.key, a.n AS a_n, b.n AS b_n, a.body AS x, b.body AS y FROM numbered a JOIN numbered b ON a.key = b.key AND a.n < b.n
+  WHERE 200 * least(length(a.body), length(b.body)) >= {threshold} * (length(a.body) + length(b.body))
+    AND 100 * levenshtein(a.body, b.body) <= {100 - threshold} * (length(a.body) + length(b.body))),
+heads AS (SELECT *, coalesce(list_min(list_filter(generate_series(1, least(length(x), length(y))), lambda i: x[i] <> y[i])) - 1, least(length(x), length(y))) AS head FROM close),
+tails AS (SELECT *, x[head + 1:] AS x1, y[head + 1:] AS y1 FROM heads),
+middles AS (SELECT *, coalesce(list_min(list_filter(generate_series(1, least(length(x1), length(y1))), lambda i: x1[-i] <> y1[-i])) - 1, least(length(x1), length(y1))) AS tail FROM tails),
+cores AS MATERIALIZED (SELECT key, a_n, b_n, head + tail AS shared, length(x) + length(y) AS total, x1[:length(x1) - tail] AS u, y1[:length(y1) - tail] AS v FROM middles),
+lcs AS MATERIALIZED (SELECT key, a_n, b_n, total, shared + coalesce(len(list_filter(list_reduce(
+    list_transform(string_split(v, ''), lambda c: list_filter(generate_series(1, length(u)), lambda i: u[i] = c)),
+    lambda ends, places: list_transform(generate_series(1, length(u)), lambda k: least(ends[k], coalesce(list_min(list_filter(places,
+      lambda p: p > CASE WHEN k = 1 THEN 0 ELSE ends[k - 1] END)), length(u) + 1))),
+    list_transform(generate_series(1, length(u)), lambda k: length(u) + 1)), lambda e: e <= length(u))), 0) AS common FROM cores),
+rivals AS MATERIALIZED (SELECT key, b_n AS n, list(a_n) AS earlier FROM lcs WHERE 200 * common >= {threshold} * total GROUP BY key, b_n),
+scan AS (SELECT key, CAST(0 AS bigint) AS n, CAST([] AS bigint[]) AS kept FROM (SELECT DISTINCT key FROM rivals)
+  UNION ALL SELECT s.key, r.n, CASE WHEN list_has_any(s.kept, coalesce(e.earlier, [])) THEN s.kept ELSE list_append(s.kept, r.n) END
+  FROM scan s JOIN numbered r ON r.key = s.key AND r.n = s.n + 1 LEFT JOIN rivals e ON e.key = r.key AND e.n = r.n),
+last_lists AS (SELECT key, arg_max(kept, n) AS kept FROM scan GROUP BY key),
+kept_first AS MATERIALIZED (SELECT ord FROM numbered r LEFT JOIN last_lists l ON l.key = r.key WHERE l.key IS NULL OR list_contains(l.kept, r.n))"""
+
+
 _ALIASES = ", ".join(f"('{alias}', '{target}')" for alias, target in fixed.SKILL_ALIASES.items())
 
 CTE_POSTINGS = f"postings AS ({plain(_POSTINGS)})"
