@@ -9,7 +9,7 @@ from lodestep.catalog import inputs
 from lodestep.catalog.demand_queries import base_counts, entries, pairs, postings
 from lodestep.catalog.inputs import WITH_COUNTS
 from lodestep.catalog.registry import Tables, query
-from lodestep.catalog.supply_queries import PLAIN_TAXONOMY, CTE_EVIDENCE, topics
+from lodestep.catalog.supply_queries import CTE_EVIDENCE, topics
 from lodestep.functions.depth import depth_of_rank
 from lodestep.operators import demand, gap, trend, validation
 from lodestep.plans import gap_report as plan
@@ -142,7 +142,7 @@ _EXPECTED = "CASE tie % 3 WHEN 0 THEN 'know' WHEN 1 THEN 'apply' ELSE 'build' EN
 
 
 def _predicted(tables: Tables) -> DataFrame:
-    evidence = topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY)
+    evidence = topic_evidence(topics(tables))
     return evidence.select(F.col("depth").alias("predicted"),
                            depth_of_rank((F.col("ord.chunk_ord.tie") % 3).cast("int")).alias("expected"))
 

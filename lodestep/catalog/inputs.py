@@ -77,6 +77,8 @@ SELECT 's' || CAST(l_suppkey AS varchar(20)) AS source, l_orderkey * 10 + l_line
     WHEN 6 THEN 'Objects, classes and constructors'
     WHEN 7 THEN 'Experiment 3: Develop an ER diagram; BCNF'
     WHEN 8 THEN 'Transactions, serializability'
+    WHEN 9 THEN 'Stacks [full stack, tech stacks]; data structures, file structure'
+    WHEN 10 THEN 'Binary search tree; binary search, decision trees, heap memory'
     ELSE 'Study of ' || p_name END || ', ' || p_name || ' ' || lower(p_type) AS raw,
   CASE WHEN l_tax < 0.03 THEN '' ELSE 'CO1-BT' || CAST(l_linenumber % 6 + 1 AS varchar(9)) END AS bt,
   CASE WHEN l_discount < 0.03 THEN NULL ELSE 'U' || CAST(l_linenumber AS varchar(9)) END AS unit,

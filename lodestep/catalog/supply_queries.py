@@ -11,7 +11,7 @@ from lodestep.catalog.registry import Tables, query
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.depth import inferred_depth
 from lodestep.functions.syllabus import split_topics
-from lodestep.functions.taxonomy import RAW_MARK, TAXONOMY, Entry, entry_id, kept_entries
+from lodestep.functions.taxonomy import RAW_MARK, TAXONOMY, Entry, kept_entries
 from lodestep.operators import chunks, rollup, tagging
 from lodestep.plans import supply_report as plan
 from lodestep.session import cut_lineage
@@ -157,18 +157,36 @@ WORDS = [
 ]
 
 
-def _sql_pattern(entry: Entry) -> str:
+_EDGE = "[^\\p{L}\\p{N}_+#]"
+
+# Per pattern alias: what to hide in a text first, as DuckDB's patterns have no look-around, and what must then be found.
+_RULES = {
+    r"re:(?<!data )(?<!information )(?<!file )(?<!database )structures?": ("((?:data|information|file|database) )structure", "\\1~", "structures?"),
+    r"re:(?<!full )(?<!tech )stacks?": ("((?:full|tech) )stack", "\\1~", "stacks?"),
+    r"re:(?<!memory )heaps?(?! memory)": ("(memory )heap|heaps?( memory)", "\\1~\\2", "heaps?"),
+    r"re:(?<!decision )(?<!family )(?<!syntax )trees?": ("((?:decision|family|syntax) )tree", "\\1~", "trees?"),
+    r"re:graphs?": ("~", "~", "graphs?"),
+    r"re:binary search(?! trees?)": ("binary search( tree)", "~\\1", "binary search"),
+}
+
+
+def _sql_holds(text: str, entry: Entry) -> str:
+    """SQL condition that ``text`` names the entry."""
     words = "|".join("".join("\\" + c if c in "+.*/" else c for c in alias) + "(?:e?s)?"
                      for alias in entry.aliases if not alias.startswith(RAW_MARK))
-    edge = "[^\\p{L}\\p{N}_+#]"
-    return f"(?i)(?:^|{edge})(?:{words})(?:$|{edge})".replace("'", "''")
+    tests = [f"regexp_matches({text}, '(?i)(?:^|{_EDGE})(?:{words})(?:$|{_EDGE})')".replace("prim's", "prim''s")] if words else []
+    for alias in entry.aliases:
+        if alias in _RULES:
+            hidden, mark, found = _RULES[alias]
+            tests.append(f"regexp_matches(regexp_replace(lower({text}), '{hidden}', '{mark}', 'g'), '(?:^|{_EDGE})(?:{found})(?:$|{_EDGE})')")
+    return "(" + " OR ".join(tests) + ")"
 
 
 def _sql_hits(taxonomy: list[Entry], columns: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT {columns}, {i} AS skill_no, '{entry_id(e)}' AS skill_id, '{e.category}' AS category, "
-        f"coalesce(list_filter(parts, lambda p: regexp_matches(p, '{_sql_pattern(e)}'))[1], whole) AS fragment "
-        f"FROM topics WHERE regexp_matches(whole, '{_sql_pattern(e)}')" for i, e in enumerate(taxonomy))
+        f"SELECT {columns}, {i} AS skill_no, 'cs_' || trim(regexp_replace(lower('{e.name}'), '[^a-z0-9]+', '_', 'g'), '_') AS skill_id, '{e.category}' AS category, "
+        f"coalesce(list_filter(parts, lambda p: {_sql_holds('p', e)})[1], whole) AS fragment "
+        f"FROM topics WHERE {_sql_holds('whole', e)}" for i, e in enumerate(taxonomy))
 
 
 KEPT_WORDS = kept_entries(WORDS, ["en", "fr", "de", "es"])
@@ -202,29 +220,27 @@ def topics(tables: Tables) -> DataFrame:
     return rows.withColumn("chunk_ord", F.struct("source", "chunk_no", "tie")).drop("chunk_no", "tie")
 
 
-# The part of the default taxonomy without look-behind, which DuckDB's patterns lack.
-PLAIN_TAXONOMY = kept_entries(TAXONOMY, ["oop", "database", "tools"])
-
 CTE_EVIDENCE = f"""
-topic_rows AS (SELECT *, row_number() OVER (ORDER BY source, chunk_no, tie) AS n FROM ({inputs.plain(inputs.TOPICS)})),
-{_cte_parts("(SELECT n AS row_n, raw FROM topic_rows)", "row_n", "raw")},
-hits AS ({_sql_hits(PLAIN_TAXONOMY, "row_n")}),
-located AS (SELECT hits.*, source, chunk_no, tie, bt, unit, hours, kind, n FROM hits JOIN topic_rows ON n = row_n),
-stems AS (SELECT row_n, skill_no, list_filter(flatten(list_transform(regexp_extract_all(lower(fragment), '[a-z]+')[1:3],
+topic_rows AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY source, chunk_no, tie) AS n FROM ({inputs.plain(inputs.TOPICS)})),
+texts AS MATERIALIZED (SELECT raw, row_number() OVER (ORDER BY raw) AS text_n FROM (SELECT DISTINCT raw FROM topic_rows)),
+{_cte_parts("texts", "text_n", "raw").replace("topics AS (", "topics AS MATERIALIZED (")},
+hits AS MATERIALIZED ({_sql_hits(TAXONOMY, "text_n")}),
+located AS MATERIALIZED (SELECT hits.*, source, chunk_no, tie, bt, unit, hours, kind, n, n AS row_n FROM hits JOIN texts USING (text_n) JOIN topic_rows USING (raw)),
+stems AS MATERIALIZED (SELECT row_n, skill_no, list_filter(flatten(list_transform(regexp_extract_all(lower(fragment), '[a-z]+')[1:3],
   lambda w: [w, w[1:greatest(len(w) - 1, 0)], w[1:greatest(len(w) - 2, 0)], w[1:greatest(len(w) - 3, 0)]])),
   lambda s: s IN ({sql_names([v for verbs in fixed.DEPTH_VERBS.values() for v in verbs])}))[1] AS verb FROM located),
 judged AS (SELECT located.*, stems.verb AS own_verb, CASE
     {" ".join(f"WHEN stems.verb IN ({sql_names(verbs)}) THEN '{depth}'" for depth, verbs in fixed.DEPTH_VERBS.items())}
     WHEN bt <> '' THEN CASE WHEN CAST(bt[-1] AS int) <= 2 THEN 'know' WHEN CAST(bt[-1] AS int) = 3 THEN 'apply' ELSE 'build' END
     WHEN kind = 'practical' THEN 'apply' ELSE 'know' END AS depth FROM located JOIN stems USING (row_n, skill_no)),
-evidence AS (SELECT *, coalesce(own_verb, CASE depth WHEN 'know' THEN 'understand' WHEN 'apply' THEN 'implement' ELSE 'design' END) AS verb,
+evidence AS MATERIALIZED (SELECT *, coalesce(own_verb, CASE depth WHEN 'know' THEN 'understand' WHEN 'apply' THEN 'implement' ELSE 'design' END) AS verb,
   n * 100 + skill_no AS ord, CASE depth WHEN 'know' THEN 0 WHEN 'apply' THEN 1 ELSE 2 END AS rank FROM judged)"""
 
 
 @query("topic_evidence", f"""WITH {CTE_EVIDENCE}
 SELECT source, chunk_no, tie, skill_id, category, fragment, verb, depth FROM evidence""")
 def topic_evidence(tables: Tables) -> DataFrame:
-    evidence = plan.topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY)
+    evidence = plan.topic_evidence(topics(tables))
     return evidence.select("source", F.col("ord.chunk_ord.chunk_no").alias("chunk_no"),
                            F.col("ord.chunk_ord.tie").alias("tie"), "skill_id", "category", "fragment", "verb", "depth")
 
@@ -262,7 +278,7 @@ summary AS (SELECT skill_id, any_value(category) AS category, CASE max(rank) WHE
 @query("syllabus_rollup", f"""WITH {CTE_ROLLUP}
 SELECT s.*, n_sources, sources, evidence FROM summary s JOIN listed USING (skill_id) JOIN fragments USING (skill_id)""")
 def syllabus_rollup(tables: Tables) -> DataFrame:
-    evidence = cut_lineage(plan.topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY))
+    evidence = cut_lineage(plan.topic_evidence(topics(tables)))
     records = rollup.supply_records(evidence)
     return records.select(
         "skill_id", "category", "depth", "original_topic", "verb", "unit", "hours", "source", "n_sources",
@@ -271,7 +287,7 @@ def syllabus_rollup(tables: Tables) -> DataFrame:
 
 @query("category_counts", f"WITH {CTE_EVIDENCE} SELECT category, count(DISTINCT skill_id) AS n_skills FROM evidence GROUP BY category")
 def category_counts(tables: Tables) -> DataFrame:
-    return rollup.category_counts(rollup.skill_summary(plan.topic_evidence(topics(tables), taxonomy=PLAIN_TAXONOMY)))
+    return rollup.category_counts(rollup.skill_summary(plan.topic_evidence(topics(tables))))
 
 
 @query("supply_report")

@@ -1,62 +1,129 @@
-"""Tagging topics with taxonomy entries, by pattern first and by vector for the rest.
+"""Tagging topics with taxonomy entries, by alias first and by vector for the rest.
+
+A taxonomy is a table of any size. Its aliases are an index of word runs, with their plurals: a text is cut into all runs of as
+many words as the longest alias has, and the runs are joined with the index by equality. Aliases that are patterns
+are rules on what the index finds. Equal texts are cut and looked up once.
 
 Tagged chunks carry ``chunk_ord``, any orderable column that says which chunk came first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.depth import depth_of_verb, leading_verb
 from lodestep.functions.syllabus import split_topics
-from lodestep.functions.taxonomy import TAXONOMY, Entry, entry_id, entry_pattern, folded, holds_entry
+from lodestep.functions.taxonomy import RAW_MARK, TAXONOMY, WORD, Entry, alias_grams, alias_pattern, folded
+from lodestep.functions.text import slug
 from lodestep.operators.nearest import best_entry
+from lodestep.session import cut_lineage
 
-
-def taxonomy_table(spark, taxonomy: list[Entry] = TAXONOMY) -> DataFrame:
-    """``skill_no, skill_id, skill_name, category, target`` of a taxonomy."""
-    rows = [(i, entry_id(e), e.name, e.category, e.label) for i, e in enumerate(taxonomy)]
-    return spark.createDataFrame(rows, "skill_no int, skill_id string, skill_name string, category string, target string")
-
-
-def _literal_entries(taxonomy: list[Entry]) -> Column:
-    """The taxonomy as one literal array, so naming a hit needs no join."""
-    return F.array(*[
-        F.struct(F.lit(entry_id(e)).alias("skill_id"), F.lit(e.name).alias("skill_name"),
-                 F.lit(e.category).alias("category")) for e in taxonomy
-    ])
+Taxonomy = list[Entry] | DataFrame
 
 
-def tagged_chunks(chunks: DataFrame, taxonomy: list[Entry] = TAXONOMY, text: str = "raw") -> DataFrame:
-    """Add ``fragments`` and ``hits``, the entries a text names with the first fragment that does.
+def taxonomy_table(spark: SparkSession, taxonomy: Taxonomy = TAXONOMY) -> DataFrame:
+    """``skill_no, skill_id, skill_name, category, target, aliases, sem_text`` of a taxonomy.
 
-    Patterns are literals: each compiles once per task, and no join is involved. What follows
-    unnests ``hits`` and filters only afterwards: a filter on ``hits`` itself would be moved below
-    this projection and have all patterns run twice.
+    ``sem_text`` describes an entry to an embedding model: its name and the first 200 characters of its plain aliases. A table
+    needs all columns but ``skill_id`` and ``sem_text``, which follow from the others.
     """
-    def hit(number: int, entry: Entry) -> Column:
-        own = F.get(F.filter("fragments", lambda part: folded(part).rlike(entry_pattern(entry))), F.lit(0))
-        return F.when(holds_entry(F.col("_low"), entry), F.struct(
-            F.lit(number).alias("skill_no"), F.coalesce(own, F.col(text)).alias("fragment")))
-
-    split = chunks.withColumns({"fragments": split_topics(F.col(text)), "_low": folded(F.col(text))})
-    hits = F.array_compact(F.array(*[hit(i, e) for i, e in enumerate(taxonomy)]))
-    return split.withColumn("hits", hits).drop("_low")
-
-
-def alias_evidence(tagged: DataFrame, taxonomy: list[Entry] = TAXONOMY,
+    if isinstance(taxonomy, DataFrame):
+        rows = taxonomy
+    else:
+        rows = spark.createDataFrame([(i, e.name, e.category, e.label, e.aliases) for i, e in enumerate(taxonomy)],
+                                     "skill_no int, skill_name string, category string, target string, aliases array<string>")
+    plain = F.filter("aliases", lambda alias: ~alias.startswith(RAW_MARK))
+    return rows.select(
+        "skill_no", F.concat(F.lit(fixed.TAXONOMY_ID_PREFIX), slug(F.col("skill_name"))).alias("skill_id"), "skill_name", "category",
+        "target", "aliases", F.concat_ws(": ", "skill_name", F.substring(F.array_join(plain, ", "), 1, 200)).alias("sem_text"))
+
+
+def alias_index(table: DataFrame) -> DataFrame:
+    """``skill_no, gram, n_words, rule`` of a taxonomy table.
+
+    ``rule`` is the pattern that a text with the run must match too, null where the run is enough. An alias of which no
+    run can be told has a null ``gram``: its rule is tried on all texts.
+    """
+    aliases = table.select("skill_no", F.explode("aliases").alias("alias"))
+
+    def lines(batches):
+        for batch in batches:
+            found = []
+            for skill_no, alias in zip(batch["skill_no"], batch["alias"]):
+                runs = alias_grams(alias)
+                rule = alias_pattern(alias) if runs is None or alias.startswith(RAW_MARK) else None
+                found += [(skill_no, run, len(re.findall(f"{WORD}+", run or "")), rule) for run in runs or [None]]
+            yield batch.iloc[:0].reindex(columns=["skill_no", "gram", "n_words", "rule"]) if not found else type(batch)(
+                found, columns=["skill_no", "gram", "n_words", "rule"])
+
+    return aliases.mapInPandas(lines, "skill_no int, gram string, n_words int, rule string").distinct()
+
+
+def word_runs(text: Column, longest: int) -> Column:
+    """All runs of up to ``longest`` words of a text, with what stands between the words."""
+    parts = F.regexp_extract_all(text, F.lit(f"(?U){WORD}+|[^\\w+#]+"), F.lit(0))
+
+    def runs_of(parts: Column) -> Column:
+        first = F.when(F.get(parts, F.lit(0)).rlike(f"(?U)^{WORD}"), 1).otherwise(2)
+        starts = F.when(F.size(parts) >= first, F.sequence(first, F.size(parts), F.lit(2))).otherwise(F.array().cast("array<int>"))
+        counts = F.array(*[F.lit(2 * n - 1) for n in range(1, longest + 1)])
+        return F.array_distinct(F.flatten(F.transform(starts, lambda at: F.transform(
+            F.filter(counts, lambda n: at + n - 1 <= F.size(parts)), lambda n: F.array_join(F.slice(parts, at, n), "")))))
+
+    return F.element_at(F.transform(F.array(parts), runs_of), 1)
+
+
+def named_entries(texts: DataFrame, table: DataFrame) -> DataFrame:
+    """``key, unit_no, skill_no`` of ``texts`` (``key, unit_no, low``): which entries each folded text names, once each."""
+    index = cut_lineage(alias_index(table))
+    longest = index.agg(F.coalesce(F.max("n_words"), F.lit(0))).first()[0]
+    found = None
+    if longest:
+        runs = texts.select("key", "unit_no", F.explode(word_runs(F.col("low"), longest)).alias("gram"))
+        met = runs.join(index, "gram").select("key", "unit_no", "skill_no", "rule").distinct()
+        ruled = met.filter("rule IS NOT NULL").join(texts, ["key", "unit_no"]).filter(F.expr("low rlike rule"))
+        found = met.filter("rule IS NULL").select("key", "unit_no", "skill_no").unionByName(ruled.select("key", "unit_no", "skill_no"))
+    for row in index.filter("gram IS NULL").collect():
+        tried = texts.filter(F.col("low").rlike(row["rule"])).select("key", "unit_no", F.lit(row["skill_no"]).alias("skill_no"))
+        found = tried if found is None else found.unionByName(tried)
+    empty = texts.select("key", "unit_no", F.lit(0).alias("skill_no")).limit(0)
+    return empty if found is None else found.distinct()
+
+
+def tagged_chunks(chunks: DataFrame, taxonomy: Taxonomy = TAXONOMY, text: str = "raw") -> DataFrame:
+    """Add ``fragments`` and ``hits``, the entries a text names with the first fragment that does (else the whole text).
+
+    Texts are told apart by their 128-bit digest, so each distinct one is cut and looked up once, however many chunks share it.
+    """
+    table = taxonomy_table(chunks.sparkSession, taxonomy)
+    keyed = chunks.withColumn("_key", F.md5(text))
+    distinct = keyed.select(F.col("_key").alias("key"), F.col(text).alias("whole")).dropDuplicates(["key"]).filter("whole IS NOT NULL")
+    units = cut_lineage(distinct.select("key", F.posexplode(F.concat(F.array("whole"), split_topics(F.col("whole")))).alias("unit_no", "unit")))
+    named = named_entries(units.select("key", "unit_no", folded(F.col("unit")).alias("low")), table)
+    places = named.groupBy("key", "skill_no").agg(
+        F.min(F.when(F.col("unit_no") > 0, F.col("unit_no"))).alias("own"), F.min("unit_no").alias("first")).filter("first = 0")
+    shown = places.withColumn("unit_no", F.coalesce("own", "first")).join(units, ["key", "unit_no"])
+    hits = shown.groupBy(F.col("key").alias("_key")).agg(F.array_sort(F.collect_list(F.struct("skill_no", F.col("unit").alias("fragment")))).alias("hits"))
+    none = F.array().cast("array<struct<skill_no:int,fragment:string>>")
+    return keyed.join(hits, "_key", "left").drop("_key").withColumns(
+        {"fragments": split_topics(F.col(text)), "hits": F.coalesce("hits", none)})
+
+
+def alias_evidence(tagged: DataFrame, taxonomy: Taxonomy = TAXONOMY,
                    confidence: float = fixed.ALIAS_CONFIDENCE) -> DataFrame:
     """One evidence row per chunk and entry named; ``ord`` puts them in reading order."""
-    entry = F.element_at(_literal_entries(taxonomy), F.col("_hit.skill_no") + 1)
-    found = tagged.withColumn("_hit", F.explode_outer("hits")).filter(F.col("_hit").isNotNull())
+    table = taxonomy_table(tagged.sparkSession, taxonomy).select("skill_no", "skill_id", "skill_name", "category")
+    found = tagged.select("bt", "kind", "unit", "hours", "source", "chunk_ord", F.explode("hits").alias("_hit")).withColumn(
+        "skill_no", F.col("_hit.skill_no")).join(table, "skill_no")
     return found.select(
-        entry["skill_id"].alias("skill_id"), entry["skill_name"].alias("skill_name"),
-        entry["category"].alias("category"),
+        "skill_id", "skill_name", "category",
         F.lit(confidence).alias("confidence"), F.lit("alias").alias("match_type"),
         F.col("_hit.fragment").alias("fragment"), "bt", "kind", "unit", "hours", "source",
-        F.struct(F.lit(0).alias("phase"), F.col("chunk_ord"), F.col("_hit.skill_no").alias("sub")).alias("ord"),
+        F.struct(F.lit(0).alias("phase"), F.col("chunk_ord"), F.col("skill_no").alias("sub")).alias("ord"),
     )
 
 
@@ -71,21 +138,20 @@ def unmatched_fragments(tagged: DataFrame, min_length: int = 6) -> DataFrame:
 
 
 def semantic_evidence(fragments: DataFrame, vectors: DataFrame, entry_vectors: DataFrame,
-                      taxonomy: list[Entry] = TAXONOMY, threshold: float = fixed.SEMANTIC_MIN) -> DataFrame:
+                      taxonomy: Taxonomy = TAXONOMY, threshold: float = fixed.SEMANTIC_MIN) -> DataFrame:
     """Evidence for fragments by their nearest entry.
 
     ``vectors`` holds ``fragment, vector`` (each text once) and ``entry_vectors`` ``entry_id, vector``,
-    where ``entry_id`` is the position in the taxonomy. Distinct texts are searched once.
+    where ``entry_id`` is the entry's ``skill_no``. Distinct texts are searched once.
     """
     wanted = vectors.join(fragments.select("fragment").distinct(), "fragment", "left_semi")
-    numbered = wanted.withColumn("query_id", F.xxhash64("fragment"))
-    found = best_entry(numbered, entry_vectors, threshold)
-    entry = F.element_at(_literal_entries(taxonomy), F.col("entry_id").cast("int") + 1)
+    numbered = cut_lineage(wanted.withColumn("query_id", F.monotonically_increasing_id()))
+    found = best_entry(numbered, entry_vectors, threshold).join(numbered.select("query_id", "fragment"), "query_id")
+    table = taxonomy_table(fragments.sparkSession, taxonomy).select("skill_no", "skill_id", "skill_name", "category")
     return (
-        fragments.withColumn("query_id", F.xxhash64("fragment")).join(found, "query_id")
+        fragments.join(found, "fragment").join(table, F.col("entry_id").cast("int") == F.col("skill_no"))
         .select(
-            entry["skill_id"].alias("skill_id"), entry["skill_name"].alias("skill_name"),
-            entry["category"].alias("category"),
+            "skill_id", "skill_name", "category",
             F.round("similarity", 4).alias("confidence"), F.lit("semantic").alias("match_type"),
             "fragment", "bt", "kind", "unit", "hours", "source",
             F.struct(F.lit(1).alias("phase"), F.col("chunk_ord"), F.col("fragment_no").alias("sub")).alias("ord"),

@@ -1,12 +1,12 @@
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestep.functions import depth, fixed_values as fixed, syllabus, text
-from lodestep.functions.taxonomy import (
-    TAXONOMY, Entry, entry_id, entry_literals, folded, holds_entry, kept_entries, sem_text,
-)
+from lodestep.functions.taxonomy import TAXONOMY, Entry, alias_grams, alias_pattern, folded, kept_entries
+from lodestep.operators.tagging import named_entries, taxonomy_table
 
 
 def test_norm(values):
@@ -113,38 +113,61 @@ def test_inferred_depth(spark):
     assert got == [("implement", "apply"), ("design", "build"), ("list", "know"), ("understand", "know")]
 
 
-def _names(values, body):
-    return {e.name for e in TAXONOMY if values(lambda c: holds_entry(folded(c), e), [body])[0]}
+def _named(spark, bodies, taxonomy=TAXONOMY):
+    """Names of the entries that the index finds in each text."""
+    rows = spark.createDataFrame([(str(i), 0, body) for i, body in enumerate(bodies)], "key string, unit_no int, raw string")
+    table = taxonomy_table(spark, taxonomy)
+    found = named_entries(rows.select("key", "unit_no", folded(F.col("raw")).alias("low")), table).join(table, "skill_no")
+    names = {body: set() for body in bodies}
+    for row in found.collect():
+        names[bodies[int(row["key"])]].add(row["skill_name"])
+    return names
 
 
 def test_taxonomy_hits(spark):
-    bodies = ["C++ classes", "data structures", "full stack", "Trees; decision trees", "heap memory", "HASHMAPS", "schemas"]
-    rows = spark.createDataFrame([(b,) for b in bodies], "b string").select("b", *[
-        holds_entry(folded(F.col("b")), e).alias(f"e{i}") for i, e in enumerate(TAXONOMY)])
-    hits = {r["b"]: {TAXONOMY[i].name for i in range(len(TAXONOMY)) if r[f"e{i}"]} for r in rows.collect()}
+    bodies = ["C++ classes", "data structures", "full stack", "Trees; decision trees", "heap memory", "HASHMAPS", "schemas", "", "-", "heaps",
+              "binary search trees", "binary search", "I/O: input/output", "ſql", "c++s"]
+    hits = _named(spark, bodies)
     assert hits["C++ classes"] == {"C++", "Object-oriented programming"}
     assert hits["data structures"] == {"Data structures (general)"}
     assert hits["full stack"] == {"Web development"}
     assert hits["Trees; decision trees"] == {"Trees & tree traversal"}
-    assert hits["heap memory"] == set()
+    assert hits["heap memory"] == hits[""] == hits["-"] == set()
     assert hits["HASHMAPS"] == {"Hashing"}
     assert hits["schemas"] == {"Database design & normalization"}
+    assert hits["heaps"] == {"Heaps & priority queues"}
+    assert hits["binary search trees"] == {"Binary search trees", "Trees & tree traversal"} and hits["binary search"] == {"Searching algorithms"}
+    assert hits["I/O: input/output"] == {"Console input/output"} and hits["ſql"] == {"SQL"} and hits["c++s"] == {"C++"}
+
+
+def test_index_equals_patterns(spark):
+    """Random texts of the aliases' own words: the index finds what the patterns find, tried one by one."""
+    rng = random.Random(4)
+    extra = [Entry("x", "Dot net", "", [".net"]), Entry("x", "Grouped", "", ["re:a(b|c)+"]), Entry("x", "Sharp", "", ["c#", "f# code"])]
+    taxonomy = TAXONOMY + extra
+    words = [w for e in taxonomy for a in e.aliases if not a.startswith("re:") for w in a.split()] + [
+        "full", "data", "memory", "decision", "tree", "trees", "heaps", "heap", "structures", "stack", "graph", "s", "es", "abc", "xab"]
+    bodies = list({"".join(rng.choice(words) + rng.choice(["", "s", "es"]) + rng.choice([" ", " ", "-", ", ", "/", "+", "  "]) for _ in range(7)) for _ in range(300)})
+    found = _named(spark, bodies, taxonomy)
+    rows = spark.createDataFrame([(b,) for b in bodies], "b string").select("b", *[
+        F.array(*[folded(F.col("b")).rlike(alias_pattern(a)) for a in e.aliases]).alias(f"e{i}") for i, e in enumerate(taxonomy)])
+    for row in rows.collect():
+        assert found[row["b"]] == {e.name for i, e in enumerate(taxonomy) if any(row[f"e{i}"])}, row["b"]
 
 
-def test_literals_never_hide_a_hit():
-    for entry in TAXONOMY:
-        literals = entry_literals(entry)
-        assert literals
-        for alias in entry.aliases:
-            if not alias.startswith("re:"):
-                assert any(word in alias.lower() for word in literals)
-    assert entry_literals(Entry("c", "n", "", ["re:a(b|c)+"])) is None
+def test_runs_of_aliases():
+    assert alias_grams("Big O") == ["big o", "big os", "big oes"]
+    assert alias_grams("re:(?<!memory )heaps?(?! memory)") == ["heap", "heaps"] and alias_grams("re:binary search(?! trees?)") == ["binary search"]
+    assert alias_grams("re:a(b|c)+") is None and alias_grams(".net") is None
 
 
 def test_taxonomy_shape():
     assert len(TAXONOMY) == len(kept_entries()) == 72
     assert len(kept_entries(categories=["dsa"])) == 12
-    assert entry_id(next(e for e in TAXONOMY if e.name == "HTML & CSS")) == "cs_html_css"
-    assert sem_text(Entry("c", "Stacks", "", ["re:stacks?"])) == "Stacks: "
-    long = sem_text(Entry("c", "N", "", ["x" * 150, "y" * 150]))
+
+
+def test_taxonomy_table(spark):
+    rows = {r["skill_name"]: r for r in taxonomy_table(spark).collect()}
+    assert len(rows) == 72 and rows["HTML & CSS"]["skill_id"] == "cs_html_css" and rows["Stacks"]["sem_text"] == "Stacks: "
+    long = taxonomy_table(spark, [Entry("c", "N", "", ["x" * 150, "y" * 150])]).first()["sem_text"]
     assert long == "N: " + "x" * 150 + ", " + "y" * 48
