@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,32 @@ def test_taxonomy_table(spark):
     assert len(rows) == 72 and rows["HTML & CSS"]["skill_id"] == "cs_html_css" and rows["Stacks"]["sem_text"] == "Stacks: "
     long = taxonomy_table(spark, [Entry("c", "N", "", ["x" * 150, "y" * 150])]).first()["sem_text"]
     assert long == "N: " + "x" * 150 + ", " + "y" * 48
+
+
+def test_long_bracketed_topics_in_linear_time(spark):
+    """A million characters take about ten times as long as a hundred thousand, and the parts are those of a plain scan."""
+    def plain(body):
+        depth, parts = 0, [""]
+        for char in body:
+            if depth == 0 and char in ",;•":
+                parts.append("")
+                continue
+            depth = depth + 1 if char in "([" else max(0, depth - 1) if char in ")]" else depth
+            parts[-1] += char
+        kept = [p for p in (p.strip().strip(" -:,.\t") for p in parts) if len(p) >= 3]
+        return kept or [body]
+    rng = random.Random(8)
+    for length in (0, 1, 5, 300, 5_000, 30_000):
+        body = "".join(rng.choice(["ab", " ", ",", ";", "(", ")", "[", "]", "•", "topic "]) for _ in range(length)) + "(,"
+        rows = spark.createDataFrame([(body,)], "t string")
+        assert rows.select(syllabus.split_topics(F.col("t"))).first()[0] == plain(body)
+
+    def seconds(length):
+        body = "a (b, c), " * (length // 10)
+        rows = spark.createDataFrame([(body,)], "t string")
+        begun = time.perf_counter()
+        assert rows.select(F.size(syllabus.split_topics(F.col("t")))).first()[0] == length // 10
+        return time.perf_counter() - begun
+    seconds(1_000)
+    short, long = seconds(100_000), seconds(1_000_000)
+    assert short < 5 and long < 20 * max(short, 0.5)
