@@ -1,8 +1,7 @@
 """Carrying the last known value forward through the rows of a document.
 
-One window per document would put a document that holds a third of all rows into one task. So the
-scan has three steps: the last value of each block of pages, the values that enter each block, and
-the scan inside a block. Only the second runs over a whole document, with one small row per block.
+The rows lie in ranges of the whole order, so a document of any size, and one page of any size, is spread over many tasks.
+Each range hands its last values on to the later ranges of the document; the scan itself stays inside a range.
 """
 
 from __future__ import annotations
@@ -10,29 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_PAGES = 512
+from lodestep.operators.ordered import in_ranges
 
 
-def carry_forward(rows: DataFrame, doc: str, order: list[str], values: dict[str, Column],
-                  block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Add each of ``values`` under its name: the last non-null one up to and with the row.
-
-    ``order[0]`` is an integer page number; blocks are runs of pages.
-    """
-    marked = rows.withColumn("_block", F.floor(F.col(order[0]) / block_pages)).withColumns(
-        {f"_v_{name}": value for name, value in values.items()})
+def carry_forward(rows: DataFrame, doc: str, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """Add each of ``values`` under its name: the last non-null one up to and with the row, in any ``order``."""
+    marked = in_ranges(rows.withColumns({f"_v_{name}": value for name, value in values.items()}), doc, *order)
     place = F.struct(*order)
-    ends = marked.groupBy(doc, "_block").agg(*[
+    ends = marked.groupBy(doc, "_range").agg(*[
         F.max_by(f"_v_{name}", F.when(F.col(f"_v_{name}").isNotNull(), place)).alias(f"_end_{name}")
         for name in values
     ])
-    before = Window.partitionBy(doc).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    entering = ends.select(doc, "_block", *[
+    before = Window.partitionBy(doc).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select(F.col(doc).alias("_doc"), F.col("_range").alias("_at"), *[
         F.last(f"_end_{name}", ignorenulls=True).over(before).alias(f"_in_{name}") for name in values
     ])
-    inside = Window.partitionBy(doc, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    carried = marked.join(entering, [doc, "_block"]).withColumns({
+    inside = Window.partitionBy(doc, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = marked.join(handed, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_range") == F.col("_at"))).withColumns({
         name: F.coalesce(F.last(f"_v_{name}", ignorenulls=True).over(inside), f"_in_{name}")
         for name in values
     })
-    return carried.drop("_block", *[f"{part}{name}" for part in ("_v_", "_in_") for name in values])
+    return carried.drop("_range", "_doc", "_at", *[f"{part}{name}" for part in ("_v_", "_in_") for name in values])

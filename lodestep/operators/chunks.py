@@ -14,7 +14,7 @@ from lodestep.functions.syllabus import (
     cleaned_cells, contact_hours, course_verdict, detected_header, line_fields,
 )
 from lodestep.functions.text import ignore_case, lines_of, matches, strip
-from lodestep.operators.carry import BLOCK_PAGES, carry_forward
+from lodestep.operators.carry import carry_forward
 
 _CHUNK = ["doc", "page_no", "part_no", "row_no", "raw", "bt", "unit", "hours", "kind"]
 
@@ -39,15 +39,14 @@ def core_courses(pages: DataFrame, **rules) -> DataFrame:
 
 
 def table_chunks(rows: DataFrame, topic_pattern: str = fixed.HEADER_TOPIC,
-                 hours_pattern: str = fixed.HEADER_HOURS, min_length: int = 3,
-                 block_pages: int = BLOCK_PAGES) -> DataFrame:
+                 hours_pattern: str = fixed.HEADER_HOURS, min_length: int = 3) -> DataFrame:
     """Topics of table rows ``doc, page_no, table_no, row_no, cells``.
 
     The last header, on whatever page or table, rules the rows after it that have its width.
     """
     cleaned = rows.filter(F.size("cells") > 0).withColumn("cells", cleaned_cells(F.col("cells")))
     headed = cleaned.withColumn("_header", detected_header(F.col("cells"), topic_pattern, hours_pattern))
-    ruled = carry_forward(headed, "doc", ["page_no", "table_no", "row_no"], {"h": F.col("_header")}, block_pages)
+    ruled = carry_forward(headed, "doc", ["page_no", "table_no", "row_no"], {"h": F.col("_header")})
     cells = F.col("cells")
 
     def cell(role: str) -> Column:
@@ -76,7 +75,7 @@ def _holds(line: Column, marks: list[str]) -> Column:
 
 def line_chunks(pages: DataFrame, on: list[str] = fixed.SECTION_ON, off: list[str] = fixed.SECTION_OFF,
                 unit_pattern: str = fixed.UNIT_LINE, skip_pattern: str = fixed.SKIP_LINE,
-                min_length: int = 5, block_pages: int = BLOCK_PAGES) -> DataFrame:
+                min_length: int = 5) -> DataFrame:
     """Topics of the lines of ``doc, page_no, text`` between an on-mark and an off-mark.
 
     The section and the unit carry over pages. Mark lines give no topic and no unit; a unit line
@@ -88,7 +87,7 @@ def line_chunks(pages: DataFrame, on: list[str] = fixed.SECTION_ON, off: list[st
     unit = F.when(~opens & ~closes & matches(line, unit_pattern),
                   F.regexp_extract(line, ignore_case(unit_pattern), 1))
     state = F.when(opens, F.lit(True)).when(closes, F.lit(False))
-    ruled = carry_forward(lines, "doc", ["page_no", "row_no"], {"inside": state, "unit": unit}, block_pages)
+    ruled = carry_forward(lines, "doc", ["page_no", "row_no"], {"inside": state, "unit": unit})
     return (
         ruled.filter(F.col("inside") & ~opens & ~closes & (F.length(line) >= min_length)
                      & ~matches(line, skip_pattern))

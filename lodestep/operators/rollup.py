@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.depth import depth_of_rank, depth_rank
+from lodestep.operators.ordered import numbered
+from lodestep.session import cut_lineage
 
-MAX_LISTED_SOURCES = 10_000
+SOURCES_PER_PART = 10_000
 
 
 def skill_sources(evidence: DataFrame) -> DataFrame:
@@ -20,6 +22,17 @@ def skill_sources(evidence: DataFrame) -> DataFrame:
     return evidence.groupBy("skill_id", "source").agg(F.min("ord").alias("ord"))
 
 
+def source_parts(evidence: DataFrame, part_size: int = SOURCES_PER_PART) -> DataFrame:
+    """``skill_id, part_no, sources``: all sources of a skill in order of first mention, in lists of ``part_size``, numbered from 0.
+
+    A skill that all sources name has many parts; its sources are numbered over ranges, no task holds them all.
+    """
+    placed = numbered(skill_sources(evidence), "skill_id", "ord", "source")
+    part = F.floor((F.col("place") - 1) / part_size).cast("int")
+    listed = F.array_sort(F.collect_list(F.struct("place", "source")))
+    return placed.groupBy("skill_id", part.alias("part_no")).agg(F.transform(listed, lambda x: x["source"]).alias("sources"))
+
+
 def first_fragments(evidence: DataFrame, limit: int = fixed.MAX_EVIDENCE) -> DataFrame:
     """``skill_id, evidence``: the first distinct fragments of a skill, at most ``limit``."""
     once = evidence.groupBy("skill_id", "fragment").agg(F.min("ord").alias("ord"))
@@ -46,21 +59,18 @@ def skill_summary(evidence: DataFrame) -> DataFrame:
     )
 
 
-def supply_records(evidence: DataFrame, max_listed_sources: int = MAX_LISTED_SOURCES) -> DataFrame:
+def supply_records(evidence: DataFrame, part_size: int = SOURCES_PER_PART) -> DataFrame:
     """Output records of the supply side, by category and name.
 
-    ``sources`` is listed up to ``max_listed_sources`` members. A skill with more has null there and
-    its whole list in :func:`skill_sources`; ``n_sources`` is exact for all.
+    ``sources`` is the first part of a skill's list, the whole list for all skills of up to ``part_size`` sources; ``n_parts`` tells
+    how many there are, :func:`source_parts` has them all. ``n_sources`` is exact.
     """
-    sources = skill_sources(evidence)
-    counts = sources.groupBy("skill_id").agg(F.count("*").alias("n_sources"))
-    short = counts.filter(F.col("n_sources") <= max_listed_sources).select("skill_id")
-    listed = F.array_sort(F.collect_list(F.struct("ord", "source")))
-    lists = (sources.join(short, "skill_id", "left_semi").groupBy("skill_id")
-             .agg(F.transform(listed, lambda x: x["source"]).alias("sources")))
+    parts = cut_lineage(source_parts(evidence, part_size))
+    counts = parts.groupBy("skill_id").agg(F.sum(F.size("sources")).alias("n_sources"), F.count("*").alias("n_parts"))
+    lists = parts.filter("part_no = 0").select("skill_id", "sources")
     return (
         skill_summary(evidence)
-        .join(counts, "skill_id").join(lists, "skill_id", "left").join(first_fragments(evidence), "skill_id")
+        .join(counts, "skill_id").join(lists, "skill_id").join(first_fragments(evidence), "skill_id")
         .orderBy("category", "skill_name")
     )
 

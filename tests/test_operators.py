@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 from lodestep.operators import chunks, demand, dictionary, filters, gap, nearest, rollup, trend
 from lodestep.operators.carry import carry_forward
+from lodestep.operators.ordered import in_ranges, numbered
 
 ENTRIES = [
     (1, "u1", "Python (computer programming)", "Python 3\nCPython"), (2, "u2", "algorithms", "data structures"),
@@ -99,18 +100,46 @@ def test_threshold_and_ladder(spark):
     assert [r[0] for r in spark.range(1).select(demand.auto_threshold(F.lit(801))).collect()] == [5]
 
 
-def test_carry_forward_in_small_blocks(spark):
+def test_carry_forward_in_ranges(spark):
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.7 else "cold", page, line, rng.choice([None, None, None, page * 10 + line]))
             for page in range(40) for line in range(3)]
     frame = spark.createDataFrame(rows, "doc string, page int, line int, v int").repartition(5)
-    for block in (1, 4, 1000):
-        got = {(r["doc"], r["page"], r["line"]): r["last"] for r in carry_forward(
-            frame, "doc", ["page", "line"], {"last": F.col("v")}, block).collect()}
-        last = {}
-        for doc, page, line, v in rows:
-            last[doc] = v if v is not None else last.get(doc)
-            assert got[doc, page, line] == last[doc]
+    got = {(r["doc"], r["page"], r["line"]): r["last"] for r in carry_forward(
+        frame, "doc", ["page", "line"], {"last": F.col("v")}).collect()}
+    last = {}
+    for doc, page, line, v in rows:
+        last[doc] = v if v is not None else last.get(doc)
+        assert got[doc, page, line] == last[doc]
+
+
+def test_one_page_is_spread_over_tasks(spark):
+    """A document of one page lies in many ranges of about the same size; values, nulls and a null document pass from one to the next."""
+    rows = [(None if i < 500 else "one", 1, i, i if i % 997 == 3 else None) for i in range(8_000)]
+    frame = spark.createDataFrame(rows, "doc string, page int, line int, v int").repartition(8)
+    sizes = [r["count"] for r in in_ranges(frame.filter("doc = 'one'"), "doc", "page", "line").groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2_500
+    got = {r["line"]: r["last"] for r in carry_forward(frame, "doc", ["page", "line"], {"last": F.col("v")}).collect()}
+    last = {}
+    for doc, _, line, v in rows:
+        last[doc] = v if v is not None else last.get(doc)
+        assert got[line] == last[doc]
+
+
+def test_numbers_over_ranges(spark):
+    rows = [("hot" if i % 5 else None, i * 7 % 9_000) for i in range(9_000)]
+    frame = spark.createDataFrame(rows, "k string, o int").repartition(6)
+    got = {(r["k"], r["o"]): r["place"] for r in numbered(frame, "k", "o").collect()}
+    for key in ("hot", None):
+        assert [got[key, o] for o in sorted(o for k, o in rows if k == key)] == list(range(1, sum(k == key for k, _ in rows) + 1))
+
+
+def test_sources_of_any_length(spark):
+    evidence = spark.range(25_000).select(F.lit("s").alias("skill_id"), F.concat(F.lit("doc"), F.col("id")).alias("source"),
+                                          (F.lit(25_000) - F.col("id")).alias("ord"))
+    parts = {r["part_no"]: r["sources"] for r in rollup.source_parts(evidence.union(evidence)).collect()}
+    assert [len(parts[i]) for i in range(3)] == [10_000, 10_000, 5_000]
+    assert parts[0] + parts[1] + parts[2] == [f"doc{i}" for i in reversed(range(25_000))]
 
 
 def test_table_rows(spark):
@@ -118,7 +147,7 @@ def test_table_rows(spark):
             ["x", "y"], ["I", "ab", "", ""], ["Sr", "Experiment Name", "l"], ["1", "Implement BFS", ""], [], ["2", None, "1"]]
     frame = spark.createDataFrame([("d", i // 3, 0, i, r) for i, r in enumerate([["early", "row", "of", "four"]] + rows)],
                                   "doc string, page_no int, table_no int, row_no int, cells array<string>")
-    got = [(r.raw, r.bt, r.unit, r.hours, r.kind) for r in chunks.table_chunks(frame, block_pages=1).orderBy("row_no").collect()]
+    got = [(r.raw, r.bt, r.unit, r.hours, r.kind) for r in chunks.table_chunks(frame).orderBy("row_no").collect()]
     assert got == [("Linked lists", "CO1-BT2", "I", 3, "theory"), ("Queues", "CO1-BT2", "I", 1, "theory"),
                    ("Implement BFS", "", None, 2, "practical")]
 
@@ -127,7 +156,7 @@ def test_lesson_lines(spark):
     pages = [("d", 1, "Unit 9\nLecture Plan Preview Unit 1\nUnit - II\n1 2 Arrays and stacks CO1 - BT3 2 hrs\nMission to go"),
              ("d", 2, "Hash tables\nabc\nAssessment Model\nUnit 3\nIgnored line"), ("e", 1, "Never inside a section")]
     got = [(r.raw, r.bt, r.unit, r.hours) for r in chunks.line_chunks(
-        spark.createDataFrame(pages, "doc string, page_no int, text string"), block_pages=1).orderBy("page_no", "row_no").collect()]
+        spark.createDataFrame(pages, "doc string, page_no int, text string")).orderBy("page_no", "row_no").collect()]
     assert got == [("Unit - II", "", "II", None), ("Arrays and stacks", "CO1 - BT3", "II", 2), ("Hash tables", "", "II", None)]
 
 
@@ -166,8 +195,8 @@ def test_rollup(spark):
         "build", "use", 0.97, "semantic", "U3", "b.pdf")
     assert s["hours"] == 8 and s["sources"] == ["b.pdf", "a.pdf", "c.pdf"] and s["n_sources"] == 3
     assert s["evidence"] == ["f1", "f2", "g0", "g1", "g2"] and records[0]["hours"] == 0
-    short = rollup.supply_records(spark.createDataFrame(rows, EVIDENCE), max_listed_sources=2).collect()
-    assert [(r["n_sources"], r["sources"]) for r in short] == [(1, ["a.pdf"]), (3, None)]
+    short = rollup.supply_records(spark.createDataFrame(rows, EVIDENCE), part_size=2).collect()
+    assert [(r["n_sources"], r["sources"]) for r in short] == [(1, ["a.pdf"]), (3, ["b.pdf", "a.pdf"])]
 
 
 def test_trends_against_polyfit(spark):
