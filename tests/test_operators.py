@@ -178,6 +178,26 @@ def test_nearest_blocks_equal_broadcast(spark):
     assert one.count() == int((scores[:, 0] + 1 >= 0.5).sum())
 
 
+def test_nearest_skips_blocks_and_keeps_every_row(spark):
+    """Clustered entries: most blocks are never met; null, odd and repeated queries have their rows, the same for any block size."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    matrix = np.repeat(centres, 40, axis=0) + rng.normal(size=(480, 16)) * 0.05
+    queries = np.repeat(centres, 10, axis=0) + rng.normal(size=(120, 16)) * 0.05
+    entry = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(matrix)] + [(900, None), (901, [None] * 16), (902, [0.0] * 16)],
+                                  "entry_id long, vector array<double>")
+    asked = [(i % 50, row.tolist()) for i, row in enumerate(queries)] + [(7, None), (8, [1.0]), (9, [0.0] * 16), (None, [1.0] * 16), (None, [None] * 16)]
+    query = spark.createDataFrame(asked, "query_id long, vector array<double>").repartition(3)
+    results = []
+    for size in (1 << 20, 16 * 8 * 40, 16 * 8 * 7):
+        found, visits = nearest.nearest_with_visits(query, entry, 4, size)
+        results.append(sorted((r["query_id"] is None, r["query_id"] or 0, list(r["entries"]), [round(x, 9) for x in r["similarities"]]) for r in found.collect()))
+        report = visits.first()
+        assert report["visited"] <= (report["possible"] if report["n_blocks"] == 1 else report["possible"] // 2)
+    assert len(results[0]) == len(asked) and results[0] == results[1] == results[2]
+    assert sum(not entries for _, _, entries, _ in results[0]) == 3
+
+
 EVIDENCE = "skill_id string, skill_name string, category string, confidence double, match_type string, fragment string, " \
            "verb string, depth string, unit string, hours int, source string, ord long"
 
