@@ -178,6 +178,22 @@ def demand_counts(tables: Tables) -> DataFrame:
         F.round("junior_share", 6).alias("junior_share"), "k").orderBy(F.desc("employers"), "skill_idx")
 
 
+@query("sketched_counts", f"""{WITH_PAIRS},
+exact AS (SELECT skill_idx, count(DISTINCT employer) AS employers, count(DISTINCT posting) AS postings FROM pairs GROUP BY skill_idx)
+SELECT skill_idx, employers, postings, true AS within_bound FROM exact""")
+def sketched_counts(tables: Tables) -> DataFrame:
+    """Exact counts beside those of monthly sketches merged over all months; the estimates must be within five standard errors."""
+    found = cut_lineage(pairs(tables).join(tables.orders.select(
+        F.col("o_orderkey").alias("posting"), F.date_trunc("month", "o_orderdate").alias("month")), "posting"))
+    estimates = demand.merged_sketch_counts(demand.employer_sketches(found, "month"))
+    exact = demand.skill_counts(demand.employer_skill_counts(found)).select("skill_idx", "employers", "postings")
+
+    def near(name: str):
+        return F.abs(F.col(f"e.{name}") - F.col(f"x.{name}")) <= F.greatest(F.lit(1.0), 5 * 0.8 / 64 * F.col(f"x.{name}"))
+    return exact.alias("x").join(estimates.alias("e"), "skill_idx").select(
+        "skill_idx", "x.employers", "x.postings", (near("employers") & near("postings")).alias("within_bound"))
+
+
 @query("employer_distribution", f"""{WITH_COUNTS}
 SELECT count(*) AS n, round(avg(employers), 6) AS mean, round(stddev_samp(employers), 6) AS std, min(employers) AS min,
   round(quantile_cont(employers, 0.5), 6) AS p50, round(quantile_cont(employers, 0.75), 6) AS p75,

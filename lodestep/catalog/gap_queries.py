@@ -14,6 +14,8 @@ from lodestep.functions.depth import depth_of_rank
 from lodestep.operators import demand, gap, trend, validation
 from lodestep.plans import gap_report as plan
 from lodestep.plans.supply_report import topic_evidence
+from lodestep.session import new_folder
+from lodestep.streaming import snapshots as streamed
 from lodestep.streaming.snapshots import snapshot_counts
 
 CTE_SERIES = f"series AS ({inputs.plain(inputs.SERIES)})"
@@ -195,3 +197,27 @@ def event_snapshots(tables: Tables) -> DataFrame:
     named = tables.events.select(F.col("ts").alias("posted_at"), F.col("event_type").alias("skill_idx"),
                                  F.col("user_id").alias("employer"), F.col("event_id").alias("posting"))
     return snapshot_counts(named, "week")
+
+
+@query("streamed_snapshots", """
+SELECT CAST(date_trunc('week', ts) AS date) AS period, event_type AS skill_idx, count(DISTINCT user_id) AS employers, count(*) AS postings
+FROM events GROUP BY 1, 2""")
+def streamed_snapshots(tables: Tables) -> DataFrame:
+    """The events as a stream of four files, drained in as many micro-batches with the state kept between them."""
+    spark = tables.spark
+    arriving, store, progress = (new_folder(spark, name) for name in ("arriving", "snapshots", "progress"))
+    tables.events.repartition(4, "event_id").write.parquet(arriving)
+    before = spark.conf.get(streamed.STATE_STORE[0], None)
+    spark.conf.set(*streamed.STATE_STORE)
+    try:
+        rows = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+        named = rows.select(F.col("ts").alias("posted_at"), F.col("event_type").alias("skill_idx"),
+                            F.col("user_id").alias("employer"), F.col("event_id").alias("posting"))
+        drained = streamed.file_snapshots(named, store, progress, "week").trigger(availableNow=True).start()
+        drained.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(streamed.STATE_STORE[0])
+        else:
+            spark.conf.set(streamed.STATE_STORE[0], before)
+    return streamed.stored_counts(spark, store)

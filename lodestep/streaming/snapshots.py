@@ -1,14 +1,23 @@
 """Monthly posting snapshots that build up a demand series.
 
-Exact distinct counts do not exist on streams, so the stream only files postings by month, and
-each micro-batch recounts the months it touched. Replaying a micro-batch changes nothing.
+On a stream, each (month, skill, employer) keeps its postings as state, so a new posting costs one look-up and says what it changes: one
+posting more and, if it is the employer's first, one employer more. Micro-batches file these changes; their sums are the exact counts.
+No month is ever counted again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+#: The state of the streams below lives in this store; a session must name it before such a stream starts.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+_CHANGES = "period date, skill_idx string, employers long, postings long"
 
 
 def snapshot_counts(pairs: DataFrame, period: str = "month") -> DataFrame:
@@ -23,26 +32,54 @@ def snapshot_counts(pairs: DataFrame, period: str = "month") -> DataFrame:
     )
 
 
-def file_snapshots(stream: DataFrame, store: str, counts: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that files a stream of posting-skill pairs under ``store`` and keeps ``counts``.
+class _EmployerPostings(StatefulProcessor):
+    """The postings seen of one (period, skill, employer); emits what new ones change."""
+
+    def init(self, handle) -> None:
+        self.seen = handle.getMapState("postings", "posting string", "seen boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        first = not self.seen.exists()
+        new = 0
+        for part in rows:
+            for posting in part["posting"].drop_duplicates():
+                if not self.seen.containsKey((posting,)):
+                    self.seen.updateValue((posting,), (True,))
+                    new += 1
+        if new:
+            yield pd.DataFrame({"period": [key[0]], "skill_idx": [key[1]], "employers": [int(first)], "postings": [new]})
+
+    def close(self) -> None:
+        pass
+
 
-    Pairs are stored by month and micro-batch and overwritten by partition, which makes a retry of a
-    batch harmless.
+def snapshot_changes(stream: DataFrame, period: str = "month") -> DataFrame:
+    """Changes ``period, skill_idx, employers, postings`` that a stream of ``posted_at, skill_idx, employer, posting`` brings.
+
+    ``employers`` is 1 where a posting is its employer's first of a skill and period, else 0. Repeated postings change nothing, in
+    whichever micro-batch they come. A hot skill is spread over its employers. Ids are carried as text, null as empty.
     """
+    text = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("skill_idx", "employer", "posting")}
+    dated = stream.withColumns(text).select(
+        F.date_trunc(period, "posted_at").cast("date").alias("period"), "skill_idx", "employer", "posting")
+    return dated.groupBy("period", "skill_idx", "employer").transformWithStateInPandas(
+        _EmployerPostings(), outputStructType=_CHANGES, outputMode="Update", timeMode="None")
+
+
+def file_snapshots(stream: DataFrame, store: str, checkpoint: str, period: str = "month") -> DataStreamWriter:
+    """Writer that files the changes of a stream under ``store``, one folder per micro-batch; a batch that runs again overwrites its own."""
     def file_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.withColumns({"month": F.date_format("posted_at", "yyyy-MM"), "batch": F.lit(batch_id)})
-        (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("month", "batch").parquet(store))
-        months = [row["month"] for row in dated.select("month").distinct().collect()]
-        if not months:
-            return
-        once = spark.read.parquet(store).filter(F.col("month").isin(months)).dropDuplicates(["posting", "skill_idx"])
-        counted = snapshot_counts(once).withColumn("month", F.date_format("period", "yyyy-MM"))
-        (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("month").parquet(counts))
-
-    return stream.writeStream.foreachBatch(file_batch).option("checkpointLocation", checkpoint)
+        summed = batch.groupBy("period", "skill_idx").agg(F.sum("employers").alias("employers"), F.sum("postings").alias("postings"))
+        (summed.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(store))
+
+    return snapshot_changes(stream, period).writeStream.outputMode("update").foreachBatch(file_batch).option("checkpointLocation", checkpoint)
+
+
+def stored_counts(spark: SparkSession, store: str) -> DataFrame:
+    """``period, skill_idx, employers, postings`` of all changes filed so far; ``skill_idx`` as text."""
+    changes = spark.read.schema(_CHANGES + ", batch long").parquet(store)
+    return changes.groupBy("period", "skill_idx").agg(F.sum("employers").alias("employers"), F.sum("postings").alias("postings"))
 
 
 def live_counts(stream: DataFrame, delay: str = "10 minutes", width: str = "30 days") -> DataFrame:

@@ -150,15 +150,24 @@ def test_file_stream_equals_batch(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     rows = spark.sql("""SELECT timestamp'2024-01-05 00:00:00' + make_interval(0, cast(id % 3 as int)) AS posted_at,
         cast(id % 4 as int) AS skill_idx, 'e' || (id % 5) AS employer, id AS posting FROM range(60)""")
-    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
-    rows.limit(20).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))   # postings seen twice
-    stream = spark.readStream.schema(PAIRS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = snapshots.file_snapshots(stream, str(tmp_path / "store"), str(tmp_path / "counts"),
-                                     str(tmp_path / "progress")).trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "counts")).select("period", "skill_idx", "employers", "postings")
-    want = snapshots.snapshot_counts(rows)
-    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    spark.conf.set(*snapshots.STATE_STORE)
+
+    def drained(part):
+        """What is counted after another file has come; every run takes up the state of the one before."""
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(PAIRS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = snapshots.file_snapshots(stream, str(tmp_path / "store"), str(tmp_path / "progress")).trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        return {tuple(r) for r in snapshots.stored_counts(spark, str(tmp_path / "store")).collect()}
+
+    def counted(part):
+        return {(r["period"], str(r["skill_idx"]), r["employers"], r["postings"]) for r in snapshots.snapshot_counts(part).collect()}
+    early = rows.filter("posting < 30")
+    assert drained(early) == counted(early)
+    assert drained(rows.filter("posting >= 20")) == counted(rows)   # ten postings come twice
+    assert drained(rows.filter("posting % 7 = 0")) == counted(rows)
+    spark.conf.unset(snapshots.STATE_STORE[0])
+    stream = spark.readStream.schema(PAIRS).parquet(str(tmp_path / "in"))
     live = snapshots.live_counts(stream).writeStream.outputMode("complete").format("memory").queryName("live").trigger(
         availableNow=True).start()
     live.awaitTermination(120)

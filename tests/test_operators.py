@@ -249,3 +249,22 @@ def test_gaps_do_not_fan_out(spark):
         "a": ("apply", 1), "b": (None, 2), "c": ("build", -1)}
     assert [r["skill_id"] for r in rows] == ["a", "b", "c"] and len(rows) == 3
     assert rows[0]["priority_score"] == pytest.approx(0.5 * 2 / 3 + 0.3 + 0.2)
+
+
+def test_sketches_merge_over_months_within_the_error(spark):
+    """A hot skill, a rare one, and employers who return every month: merged sketches are near the exact counts, and merging order does not matter."""
+    rows = spark.range(60_000).select(
+        (F.col("id") % 12).alias("month"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("skill_idx"),
+        F.concat(F.lit("e"), F.col("id") % 7_001).alias("employer"), F.col("id").alias("posting"))
+    monthly = demand.employer_sketches(rows, "month")
+    merged = {r["skill_idx"]: r for r in demand.merged_sketch_counts(monthly).collect()}
+    exact = {r["skill_idx"]: r for r in rows.groupBy("skill_idx").agg(
+        F.countDistinct("employer").alias("employers"), F.countDistinct("posting").alias("postings")).collect()}
+    assert set(merged) == set(exact)
+    for skill, row in exact.items():
+        for name in ("employers", "postings"):
+            assert abs(merged[skill][name] - row[name]) <= 0.05 * row[name]
+    assert {r["skill_idx"]: r["employers"] for r in demand.merged_sketch_counts(demand.employer_sketches(rows)).collect()} == {
+        skill: row["employers"] for skill, row in merged.items()}
+    by_month = {(r["month"], r["skill_idx"]): r["employers"] for r in demand.merged_sketch_counts(monthly, "month").collect()}
+    assert len(by_month) == monthly.count()
