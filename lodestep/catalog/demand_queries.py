@@ -271,6 +271,25 @@ def near_duplicate_postings(tables: Tables) -> DataFrame:
     return plan.unique_postings(postings(tables)).select("posting", "employer_key")
 
 
+_LISTED = "SELECT 'http://example.org/skill/' || CAST(l_partkey AS varchar(20)) AS uri FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 45"
+_IN_ORDER = inputs.WITH_COUNTS.replace("WITH ", "WITH RECURSIVE ", 1).replace(
+    inputs.CTE_DICTIONARY, f"dictionary AS (SELECT * FROM ({inputs.plain(inputs.DICTIONARY)}) WHERE uri IN ({inputs.plain(_LISTED)}))").replace(
+    inputs.CTE_PAIRS, f"""{CTE_UNIQUE},
+{inputs.CTE_PAIRS.replace("FROM postings", "FROM postings SEMI JOIN kept_first ON posting = ord")}""")
+
+
+@query("unique_demand_counts", f"""{_IN_ORDER}
+SELECT skill_idx, employers, postings, round(core_builder_share, 6) AS core_builder_share, round(junior_share, 6) AS junior_share, k FROM verified""")
+def unique_demand_counts(tables: Tables) -> DataFrame:
+    """The demand side in its real order: named employers, near-duplicates removed, row filters, a restricted dictionary, counts."""
+    listed = dictionary.listed_entries(entries(tables), tables.derived(_LISTED))
+    unique = plan.unique_postings(postings(tables))
+    found = plan.posting_skill_table(unique, listed, dictionary.alias_table(tables.spark))
+    return demand.verified_skills(cut_lineage(demand.employer_skill_counts(found))).select(
+        "skill_idx", "employers", "postings", F.round("core_builder_share", 6).alias("core_builder_share"),
+        F.round("junior_share", 6).alias("junior_share"), "k")
+
+
 @query("near_duplicate_documents")
 def near_duplicate_documents(tables: Tables) -> DataFrame:
     bodies = tables.spread(tables.documents).withColumn("body", text.norm(F.col("text")))
