@@ -183,6 +183,8 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; columns as they were."""
+    """The rows of ``docs`` whose text has a language; columns as they were. Where nothing is labelled, nothing is learned and all rows stay."""
     sample = fit(docs.where(~held_out(F.col("doc_id"))))
+    if not sample:
+        return docs
     return docs.where(language_of(sample)(F.col("text"))["lang_pred"] != UNKNOWN)

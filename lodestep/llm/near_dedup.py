@@ -238,7 +238,7 @@ def links_of(sets: DataFrame, confirm: Callable[[DataFrame], DataFrame], small:
 
 
 def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Classes and links: ``doc_id, n, member`` per row, and ``a, b, n_a, n_b, shared`` per confirmed link of unlike sets.
+    """Classes and links: ``doc_id, text_hash, n, member`` per row, and ``a, b, n_a, n_b, shared`` per confirmed link of unlike sets.
 
     Rows with equal shingle sets form a class, known by its smallest id; ``member`` is that id, null without
     shingles. Links are pairs of classes whose sets share ``percent`` of their union or more, confirmed on whole sets;
@@ -275,7 +275,7 @@ def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame
     links = docs.sparkSession.createDataFrame([], "a long, b long, n_a long, n_b long, shared long")
     for more in found:
         links = links.union(more)
-    rows = sketched.join(classes.select("digest", "n", "member"), ["digest", "n"], "left").select("doc_id", "n", "member")
+    rows = sketched.join(classes.select("digest", "n", "member"), ["digest", "n"], "left").select("doc_id", "text_hash", "n", "member")
     return rows, links
 
 
@@ -288,16 +288,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     a null id are linked with nothing and kept. Rows sharing an id are one document where their sets are equal; other
     columns are ignored; an empty table gives none.
     """
+    return _judged(docs, percent).drop("text_hash")
+
+
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
     rows, links = near_links(docs, percent)
     found = components(links).select(F.col("id").alias("member"), "component")
     own = F.coalesce("component", "member", "doc_id")
     return rows.join(found, "member", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose document represents its group; columns as they were. Repeated rows of one id stay once."""
-    gone = stored(near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("copy_id")).distinct(), "copies")
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["copy_id"], "left_anti")
-    return kept
+    """The rows of ``docs`` whose document represents its group; columns as they were.
+
+    A row goes by its id and text: another text under the same id is judged by itself, rows alike in both stay or go together.
+    """
+    gone = stored(_judged(docs, percent).where("not kept").select(
+        F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash")).distinct(), "copies")
+    same = (docs["doc_id"].cast("long") == gone["copy_id"]) & (F.xxhash64(docs["text"]) == gone["copy_hash"])
+    return docs.join(gone, same, "left_anti")

@@ -31,12 +31,19 @@ def _head(kind: str, record_id, media_type: str, block, *headers) -> Column:
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF), block)
 
 
+def capture_key(page: str, digest: str) -> Column:
+    """What tells the captures of a page apart: its id (``none`` for null) and its payload."""
+    return F.concat(F.coalesce(F.col(page).cast("string"), F.lit("none")), F.lit(":"), F.col(digest))
+
+
 def record_id(capture, kind: str) -> Column:
     return F.concat(F.lit("urn:capture:"), capture.cast("string"), F.lit(f":{kind}"))
 
 
 def first_captures(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """``page_id, first_id`` of each page whose payload of ``min_bytes`` or more equals that of a smaller id.
+    """``page_id, digest, first_id`` of each page whose payload of ``min_bytes`` or more equals that of a smaller id.
+
+    A null id is larger than all others. The digest belongs to the key: one id may stand for several payloads.
 
     Only digests and ids are shuffled, and grouped by partial minima, so a payload that a third of the pages share
     is one row per task.
@@ -45,7 +52,8 @@ def first_captures(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     sums = stored(pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("bytes")).where(
         F.col("bytes") >= min_bytes), "digests")
     first = sums.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    return sums.join(first, "digest").where("page_id > first_id").select("page_id", "first_id").distinct()
+    return sums.join(first, "digest").where(
+        "first_id IS NOT NULL AND (page_id IS NULL OR page_id > first_id)").select("page_id", "digest", "first_id").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT) -> None:
@@ -55,10 +63,13 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT)
     smallest id is the response; the others refer to it and leave the payload out. Gzipped WARC 1.1 files,
     written by Spark's text writer, which puts the two line breaks after each record.
     """
-    page = pages.select(F.col("page_id").alias("capture"), F.col("url").alias("uri"), F.coalesce("html", F.lit("")).alias("body"))
-    first = first_captures(pages, min_bytes).withColumnRenamed("page_id", "capture")
-    rows = page.join(stored(first, "revisits"), "capture", "left")
-    digest = F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.sha2("body", 256))
+    page = pages.select(F.col("page_id").alias("page"), F.col("url").alias("uri"), F.coalesce("html", F.lit("")).alias("body")).withColumn(
+        "sum", F.sha2("body", 256))
+    first = stored(first_captures(pages, min_bytes), "revisits")
+    rows = page.join(first, page["page"].eqNullSafe(first["page_id"]) & (page["sum"] == first["digest"]), "left").withColumn(
+        "capture", capture_key("page", "sum"))
+    origin = capture_key("first_id", "sum")
+    digest = F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("sum"))
     # Control characters and spaces may not stand in a header; a null url leaves the header out.
     safe = F.regexp_replace("uri", r"[\x00-\x20\x7F]+", "%20")
     target = F.concat(F.lit("WARC-Target-URI: "), safe)
@@ -67,13 +78,13 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_REVISIT)
     http = F.concat(F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html; charset=utf-8" + CRLF + "Content-Length: "),
                     F.octet_length("body").cast("string"), F.lit(CRLF + CRLF))
     asked = F.concat(F.lit("GET "), F.coalesce(safe, F.lit("/")), F.lit(" HTTP/1.1" + CRLF + CRLF))
-    noted = F.concat(F.lit("pageId: "), capture.cast("string"), F.lit(CRLF))
+    noted = F.concat(F.lit("pageId: "), F.coalesce(F.col("page").cast("string"), F.lit("none")), F.lit(CRLF))
     request = _head("request", record_id(capture, "request"), "application/http;msgtype=request", asked, target, beside)
     response = _head("response", record_id(capture, "response"), "application/http;msgtype=response",
                      F.concat(http, F.col("body")), target, digest)
     revisit = _head("revisit", record_id(capture, "response"), "application/http;msgtype=response", http, target, digest,
                     F.lit(f"WARC-Profile: {PROFILE}"),
-                    F.concat(F.lit("WARC-Refers-To: <"), record_id(F.col("first_id"), "response"), F.lit(">")))
+                    F.concat(F.lit("WARC-Refers-To: <"), record_id(origin, "response"), F.lit(">")))
     metadata = _head("metadata", record_id(capture, "metadata"), "application/warc-fields", noted, target, beside)
     answer = F.when(F.col("first_id").isNull(), response).otherwise(revisit)
     rows.select(F.explode(F.array(request, answer, metadata)).alias("value")).write.option("lineSep", CRLF + CRLF).option(
@@ -175,13 +186,14 @@ def page_captures(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     """Write archives of ``pages`` to a new shared folder, read them back, and return a row per page.
 
     ``page_id, payload_bytes, payload_digest, record_type, refers_to``; the page id is read from the metadata record. Other
-    columns are ignored, urls may be null. Ids are unique and not null in a table of pages; rows that
-    repeat one would be records of one id. An empty table gives none.
+    columns are ignored, urls may be null. An id may repeat: each of its payloads has its own records, and rows alike in id and
+    payload are of one record id, a response each if theirs is the smallest id. A null id comes back as null and is
+    larger than any other. An empty table gives none.
     """
     folder = new_folder(pages.sparkSession, "warc")
     write_archives(pages, folder, min_bytes)
     whole = transactions(read_records(pages.sparkSession, folder))
-    noted = F.element_at(F.map_from_entries("metadata.fields"), "pageid").cast("long")
+    noted = F.element_at(F.map_from_entries("metadata.fields"), "pageid").try_cast("long")
     return whole.select(
         noted.alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.record_type").alias("record_type"),

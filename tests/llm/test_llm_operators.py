@@ -87,6 +87,34 @@ def test_warc(spark, tmp_path):
     assert nested["3"]["request"]["http_head"].startswith("GET http://a/%20b%20c")
 
 
+def test_warc_repeated_and_null_ids(spark, tmp_path):
+    """Every row has a record and every payload is written, whatever the ids."""
+    a, b, c = "a" * 150, "b" * 150, "c" * 150
+    rows = [(1, a), (2, a), (2, b), (None, b), (None, c), (None, None), (5, c), (5, c), (6, c)]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in rows], "page_id long, url string, html string")
+    got = sorted(((r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.page_captures(pages).collect()), key=str)
+    first = {a: 1, b: 2, c: 5}
+    want = sorted(((i, hashlib.sha256((t or "").encode()).hexdigest(), "response" if first.get(t, i) == i else "revisit",
+                    None if first.get(t, i) == i else first[t]) for i, t in rows), key=str)
+    assert got == want
+    warc.write_archives(pages, f"{tmp_path}/archive")
+    payloads = {bytes(r["payload"]).decode() for r in warc.read_records(spark, f"{tmp_path}/archive").where(
+        "record_type = 'response'").select("payload").collect()}
+    assert payloads == {a, b, c, ""}
+
+
+def test_rows_of_one_id_are_dropped_by_their_texts(spark, docs_of):
+    words = [f"w{i}" for i in range(400)]
+    one, other = " ".join(words[:100]), " ".join(words[200:300])
+    rows = [(1, one, "en", "s"), (5, one, "en", "s"), (5, other, "en", "s"), (7, other + " more", "en", "s"), (5, other, "en", "s")]
+    kept = sorted((r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(docs_of(rows)).collect())
+    assert kept == [(1, one), (5, other), (5, other)]
+
+
+def test_all_stay_where_no_language_is_learned(docs_of):
+    assert language.keep_known(docs_of([(i, "some text here", None, "s") for i in range(5)] + [(6, None, None, None)])).count() == 6
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://net/x", "https://a.NET", "https://A.net/?q", "http://x.example.net/en/1", "http://example.net/english",
             "http://notexample.com/de/1", "http://example.com/de/1?x", "s://u.org/fr/#a", "http://u.org/fr", "a://b://c/d", "http://xnet/"]
