@@ -1,4 +1,4 @@
-"""Text normalisation as column expressions; everything stays in whole-stage codegen."""
+"""Text normalisation as built-in column expressions. Those over arrays use lambdas, which run outside generated code."""
 
 from __future__ import annotations
 
