@@ -427,4 +427,4 @@ def test_quality_drops_junk_and_keeps_prose(spark, docs_of):
 
 
 def test_queries_cover_the_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
