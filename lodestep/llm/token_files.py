@@ -115,31 +115,51 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, ids binary")
 
 
+def ids_of(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's documents in a row, and how many each has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    width = np.dtype(kind).itemsize
+    if not len(column) or ends[-1] == ends[0]:
+        return np.zeros(0, kind), np.zeros(len(column), np.int64)
+    held = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    return held.view(kind) if held.ctypes.data % width == 0 else held.copy().view(kind), np.diff(ends).astype(np.int64) // width
+
+
 def frequency_ranks(encoded: DataFrame, kind: str) -> np.ndarray:
     """All ids that occur, the most frequent first, ties by id; at most as many as the tokenizer's vocabulary has."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                found = np.bincount(np.frombuffer(ids.as_buffer(), kind))
-                if len(found) > len(totals):
-                    totals = np.concatenate([totals, np.zeros(len(found) - len(totals), np.int64)])
-                totals[:len(found)] += found
+            found = np.bincount(ids_of(batch.column("ids"), kind)[0])
+            if len(found) > len(totals):
+                totals = np.concatenate([totals, np.zeros(len(found) - len(totals), np.int64)])
+            totals[:len(found)] += found
         some = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], names=["id", "n"])
     counts = encoded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return np.array([row["id"] for row in counts.orderBy(F.desc("n"), "id").collect()], np.uint32)
 
 
+def pack_all(values: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """Per document control bytes, then data bytes: two bits per value tell whether it takes 1, 2, 3 or 4 bytes.
+
+    ``values`` are those of all documents in a row; only the last slices are taken document by document.
+    """
+    values = np.ascontiguousarray(values, "<u4")
+    width = ((values > 0xFF).view(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)).astype(np.uint8)
+    quads = -(-lengths // 4)
+    first, place = np.cumsum(lengths) - lengths, np.cumsum(quads) - quads
+    padded = np.zeros(int(quads.sum()) * 4, np.uint8)
+    padded[np.arange(len(values)) + np.repeat(4 * place - first, lengths)] = width
+    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8).tobytes()
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= width[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(width.astype(np.int64) + 1)])
+    bounds = zip(place.tolist(), (place + quads).tolist(), ends[first].tolist(), ends[first + lengths].tolist())
+    return [control[a:b] + data[c:d] for a, b, c, d in bounds]
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Control bytes, then data bytes: two bits per value tell whether it takes 1, 2, 3 or 4 bytes."""
-    padded = np.zeros(-(-len(values) // 4) * 4, np.uint32)
-    padded[:len(values)] = values
-    width = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    width = width.astype(np.uint8)
-    control = (width.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    used = np.arange(4) <= width[:len(values), None]
-    return control.tobytes() + padded[:len(values)].astype("<u4").view(np.uint8).reshape(-1, 4)[used].tobytes()
+    return pack_all(values, np.array([len(values)]))[0]
 
 
 #: For each control byte, how many bytes its four values take.
@@ -179,11 +199,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str, file_bytes: int =
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                doc_ids, records = part.column("doc_id").to_pylist(), []
-                for doc_id, ids in zip(doc_ids, part.column("ids")):
-                    values = rank[np.frombuffer(ids.as_buffer(), kind)]
-                    packed = pack(values)
-                    records.append(struct.pack(HEAD, doc_id or 0, doc_id is None, len(values), len(packed)) + packed)
+                doc_ids = part.column("doc_id").to_pylist()
+                ids, lengths = ids_of(part.column("ids"), kind)
+                records = [struct.pack(HEAD, doc_id or 0, doc_id is None, n, len(packed)) + packed
+                           for doc_id, n, packed in zip(doc_ids, lengths.tolist(), pack_all(rank[ids], lengths))]
                 ranges = [0 if doc_id is None else int(np.searchsorted(bounds, doc_id)) for doc_id in doc_ids]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(records, pa.binary()), pa.array(ranges, pa.int32())],
                                                  names=["doc_id", "record", "range"])

@@ -214,6 +214,14 @@ def test_pack_round_trip():
         assert (token_files.unpack(token_files.pack(values), n) == values).all()
 
 
+def test_pack_of_many_documents_equals_one_by_one():
+    rng = np.random.default_rng(5)
+    parts = [rng.integers(0, 1 << rng.integers(1, 33), n, dtype=np.uint64).astype(np.uint32) for n in (0, 1, 4, 5, 0, 777, 3, 2)]
+    packed = token_files.pack_all(np.concatenate(parts), np.array([len(p) for p in parts]))
+    assert packed == [token_files.pack(p) for p in parts]
+    assert all((token_files.unpack(code, len(p)) == p).all() for code, p in zip(packed, parts))
+
+
 def test_words_and_whole_texts_encode_alike():
     words, tokenizer = token_files.WordIds(PATH), Tokenizer.from_file(PATH)
     for text in ("a  b", "a \nb", " x", "x ", "it's 'tis ''s", "a\u00a0 b", "\n\n b", "   ", "é1st, 3.5%", "K\u212a. 漢字 😀!", "a,b c.."):
