@@ -216,8 +216,11 @@ def write_token_files(docs: DataFrame, folder: str, path: str, file_bytes: int =
     return ranked
 
 
-def read_token_files(spark, folder: str) -> DataFrame:
-    """``file, place, doc_id, n, before, crc32, ids`` of each document in the files; ``before`` counts ids before it in its file."""
+def read_token_files(spark, folder: str, with_ids: bool = True) -> DataFrame:
+    """``file, place, doc_id, n, before, crc32, ids`` of each document in the files; ``before`` counts ids before it in its file.
+
+    Without ``with_ids`` the ids are decoded and checked, but do not leave the task.
+    """
     ranked = np.array([row["id"] for row in spark.read.schema("rank long, id long").parquet(f"{folder}/ranks").orderBy("rank").collect()], np.uint32)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,16 +232,16 @@ def read_token_files(spark, folder: str) -> DataFrame:
                     at += struct.calcsize(HEAD)
                     ids = ranked[unpack(bytes(data[at:at + size]), n)].astype("<u4").tobytes()
                     at += size + 1
-                    rows.append((name, len(rows), None if null else doc_id, n, before, zlib.crc32(ids), ids))
+                    rows.append((name, len(rows), None if null else doc_id, n, before, zlib.crc32(ids), *([ids] if with_ids else [])))
                     before += n
                     if len(rows) % 256 == 0:
                         yield batch_of(rows[-256:])
                 if len(rows) % 256:
                     yield batch_of(rows[-(len(rows) % 256):])
 
-    schema = "file string, place long, doc_id long, n long, before long, crc32 long, ids binary"
+    schema = "file string, place long, doc_id long, n long, before long, crc32 long" + (", ids binary" if with_ids else "")
     names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:len(names)]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], names=names)
@@ -249,7 +252,7 @@ def read_token_files(spark, folder: str) -> DataFrame:
 
 def token_index(spark, folder: str) -> DataFrame:
     """Per document of the files: ``doc_id, start, n_tokens, ids_crc32``; ``start`` counts the ids of all documents before it."""
-    rows = stored(read_token_files(spark, folder).drop("ids"), "index")
+    rows = stored(read_token_files(spark, folder, with_ids=False), "index")
     files = rows.groupBy("file").agg(F.sum("n").alias("file_n"))
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("file", F.coalesce(F.sum("file_n").over(earlier), F.lit(0)).alias("offset"))
