@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestep.llm.text import spaced_words
-from lodestep.session import cut_lineage
+from lodestep.session import stored
 
 # Frequent words per language, whose shares are compared. Other languages share one reference.
 COMMON_WORDS = {
@@ -20,6 +20,10 @@ SYMBOLS = "[#*$%&|<>]"
 #: Kept characters of the histogram; what is left of a text is lower-case letters, mostly.
 COUNTED = r"[^A-Z0-9#*$%&|<>.,;:!?'\"()\-]+"
 WINDOW = 5
+#: Shares of a histogram are rounded to so many places for the references, so their counts stay small.
+PLACES = 3
+#: A reference is the mean of these quantiles, the middle third, of each bin's shares.
+MIDDLE = (0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65)
 
 
 def _matches(text, pattern: str) -> Column:
@@ -40,7 +44,7 @@ def _repeated_starts(ordered) -> Column:
 
 
 def text_features(docs: DataFrame) -> DataFrame:
-    """``doc_id``, exact counts and histograms per row, without any shuffle.
+    """``doc_id``, ``text_hash``, exact counts and histograms per row, without any shuffle.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_dup_lines`` (lines with a word
     that equal an earlier one), ``n_repeat_words`` (words in windows of five that occur twice or more),
@@ -82,61 +86,80 @@ def text_features(docs: DataFrame) -> DataFrame:
         bins = F.when(here, F.array(*(F.size(F.filter("known", _one_of(word))).cast("double") for word in common))
                       ).otherwise(bins)
     return base.withColumn("known", known).select(
-        "doc_id", "group", "n_words", "word_chars", symbols.alias("n_symbols"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), "group", "n_words", "word_chars", symbols.alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         chars.alias("char_bins"), bins.alias("word_bins"))
 
 
-def references(features: DataFrame) -> DataFrame:
-    """``group, char_total, word_total``: summed bins of all texts of a group; a row per group, five at most."""
-    def total(column: str, width: int) -> Column:
-        return F.array(*(F.coalesce(F.sum(F.get(column, F.lit(i))), F.lit(0.0)) for i in range(width)))
+def total(bins) -> Column:
+    return F.aggregate(bins, F.lit(0.0), lambda a, x: a + x)
+
+
+def references(features: DataFrame, guard_common: int = 20, guard_texts: int = 10) -> DataFrame:
+    """``group, char_reference, word_reference``: what a text of the group looks like; a row per group, five at most.
+
+    Each distinct text counts once and by its shares, whatever its length and number of copies; word shares of texts with fewer than
+    ``guard_common`` common words do not count. Of each bin the middle third of the shares is averaged, so up to a third of
+    unlike texts on either side move a reference within the range of the others, never beyond. Groups of fewer than
+    ``guard_texts`` texts have null references. Shares are rounded, so a bin has a thousand values at most to count, and tasks add
+    up their own.
+    """
+    def middle(bins: str, i: int) -> Column:
+        share = F.when(F.col(f"{bins}_total") > 0, F.round(F.get(bins, F.lit(i)) / F.col(f"{bins}_total"), PLACES))
+        return total(F.percentile(share, F.array(*map(F.lit, MIDDLE)))) / len(MIDDLE)
+
     width = len(next(iter(COMMON_WORDS.values())))
-    return features.groupBy("group").agg(
-        total("char_bins", 6).alias("char_total"), total("word_bins", width).alias("word_total"))
+    texts = features.select("group", "text_hash", "char_bins", "word_bins").distinct().withColumns({
+        "char_bins_total": total(F.col("char_bins")),
+        "word_bins_total": F.when(total(F.col("word_bins")) >= guard_common, total(F.col("word_bins")))})
+    found = texts.groupBy("group").agg(
+        F.array(*(middle("char_bins", i) for i in range(6))).alias("chars"), F.count("char_bins_total").alias("n_chars"),
+        F.array(*(middle("word_bins", i) for i in range(width))).alias("words"), F.count("word_bins_total").alias("n_words"))
+    return found.select("group", F.when(F.col("n_chars") >= guard_texts, F.col("chars")).alias("char_reference"),
+                        F.when(F.col("n_words") >= guard_texts, F.col("words")).alias("word_reference"))
 
 
 def js_distance(left, right) -> Column:
     """Jensen-Shannon distance of two histograms, 0 (alike) to 1 (disjoint); null where either is empty."""
-    def whole(bins):
-        return F.aggregate(bins, F.lit(0.0), lambda a, x: a + x)
-
     def part(p, q):
         m = (p + q) / 2
         return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
 
-    a, b = whole(left), whole(right)
+    a, b = total(left), total(right)
     parts = F.zip_with(left, right, lambda x, y: part(x / a, y / b))
-    return F.when((a > 0) & (b > 0), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x) / 2)))
+    return F.when((a > 0) & (b > 0), F.sqrt(F.greatest(F.lit(0.0), total(parts) / 2)))
 
 
 def quality(docs: DataFrame, min_words: int = 10, max_repeat_percent: int = 20,
             guard_words: int = 50, guard_common: int = 20, max_char_distance: float = 0.3,
-            max_word_distance: float = 0.6) -> DataFrame:
+            max_word_distance: float = 0.6, guard_texts: int = 10) -> DataFrame:
     """Per row the counts of :func:`text_features`, ``char_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
     A text fails the base rules with fewer than ``min_words`` words, or with more than
     ``max_repeat_percent`` of its words in repeated windows. Of the others, those of ``guard_words`` words or more
-    are dropped whose character classes are further from the sums over all texts of the language than
+    are dropped whose character classes are further from the language's :func:`references` than
     ``max_char_distance``, or, with ``guard_common`` common words or more, whose shares of these are further
-    than ``max_word_distance``; less text says too little for that. Texts of unlisted or no language are held
-    against the sums of all such texts, by character classes alone.
+    than ``max_word_distance``; less text says too little for that. References come from the texts that can be dropped so: what
+    the base rules drop and what is short has no part in them. Texts of unlisted or no language are held
+    against those of all such texts, by character classes alone.
 
     ``docs`` needs ``doc_id, text, lang``; other columns are ignored. Texts are read once; their features are some hundred
     bytes a row. The references have a row per language listed above and one more, so joining them is a broadcast
-    of five rows at most. Empty tables give empty results.
+    of five rows at most. A language of fewer than ``guard_texts`` such texts has no reference, and only the base rules
+    hold. Null texts count as empty, repeated rows are judged alike, empty tables give empty results.
     """
-    features = cut_lineage(text_features(docs))
-    judged = features.join(F.broadcast(references(features)), "group").withColumns({
-        "char_distance": js_distance(F.col("char_bins"), F.col("char_total")),
-        "word_distance": js_distance(F.col("word_bins"), F.col("word_total")),
-    })
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    common = F.coalesce(F.aggregate("word_bins", F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+    features = stored(text_features(docs).withColumn("base_failed", failed), "features")
+    usable = features.where(~F.col("base_failed") & (F.col("n_words") >= guard_words))
+    judged = features.join(F.broadcast(references(usable, guard_common, guard_texts)), "group", "left").withColumns({
+        "char_distance": js_distance(F.col("char_bins"), F.col("char_reference")),
+        "word_distance": js_distance(F.col("word_bins"), F.col("word_reference")),
+    })
+    common = F.coalesce(total(F.col("word_bins")), F.lit(0.0))
     far = (F.col("n_words") >= guard_words) & (
         (F.coalesce("char_distance", F.lit(0.0)) > max_char_distance)
         | ((common >= guard_common) & (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance",
-        "word_distance", failed.alias("base_failed"), (~failed & ~far).alias("kept"))
+        "word_distance", "base_failed", (~F.col("base_failed") & ~far).alias("kept"))

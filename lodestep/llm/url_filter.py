@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestep.session import stored
 
 # Verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
 #: Characters before the one predicted, at most.
 ORDER = 4
-#: Counters per order and class; contexts share them by hash, so the model has one size whatever the input.
-CELLS = 1 << 16
+#: Characters of URLs that are scored together, about.
+BUCKET_CHARS = 1 << 19
 #: Weight of the shorter context's estimate, in observations.
 PRIOR = 2.0
 #: Scores are compared in steps of this size, from -SPAN to SPAN.
@@ -47,91 +48,118 @@ def matching_rule(host, path, rules=RULES) -> Column:
     return found
 
 
-def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each order the counter of every character's context, and of the context with it; and each character's URL.
+def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte with the ``ORDER`` bytes before it as one number, the byte itself lowest; and the URL each belongs to.
 
     URLs are UTF-8 bytes after ``ORDER`` zero bytes, so a context never reaches into another URL.
     """
     raw = [bytes(ORDER) + url.encode("utf-8", "surrogatepass") for url in urls]
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    lengths = np.array([len(x) for x in raw])
+    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+    lengths = np.array([len(x) for x in raw], np.int64)
     owner = np.repeat(np.arange(len(raw)), lengths)
     inside = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     at = np.flatnonzero(inside >= ORDER)
-    context = np.zeros((ORDER + 1, len(at)), np.uint64)
-    for order in range(1, ORDER + 1):
-        context[order] = (context[order - 1] + data[at - order] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    joint = (context + data[at] + np.uint64(0x51ED27)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    shift = np.uint64(64 - CELLS.bit_length() + 1)
-    return (context >> shift).astype(np.int64), (joint >> shift).astype(np.int64), owner[at]
+    gram = np.zeros(len(at), np.int64)
+    for back in range(ORDER, -1, -1):
+        gram = gram << 8 | data[at - back]
+    return gram, owner[at]
 
 
-def count_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``cell, n``: all counters of the rows of a task, for contexts and for contexts with the next character."""
-    counts = np.zeros((len(CLASSES), 2, ORDER + 1, CELLS), np.int64)
+def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``gram`` and how often it stands in URLs of each class, added up per batch."""
     for batch in batches:
-        for number, name in enumerate(CLASSES):
-            own = batch["url"][batch["verdict"] == name].tolist()
-            for i in range(0, len(own), 2_000):
-                context, joint, _ = grams(own[i:i + 2_000])
-                for order in range(ORDER + 1):
-                    counts[number, 0, order] += np.bincount(context[order], minlength=CELLS)
-                    counts[number, 1, order] += np.bincount(joint[order], minlength=CELLS)
-    flat = counts.ravel()
-    some = np.flatnonzero(flat)
-    yield pd.DataFrame({"cell": some, "n": flat[some]})
+        for i in range(0, batch.num_rows, 2_000):
+            part = batch.slice(i, 2_000)
+            gram, owner = grams(part.column("url").to_pylist())
+            found, place = np.unique(gram, return_inverse=True)
+            copies = part.column("copies").to_numpy()[owner]
+            verdict = np.array(part.column("verdict").to_pylist(), object)[owner]
+            counts = [np.bincount(place, copies * (verdict == name), len(found)).astype(np.int64) for name in CLASSES]
+            yield pa.RecordBatch.from_arrays([pa.array(found), *map(pa.array, counts)], names=["gram", *CLASSES])
+
+
+def bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``bucket, gram``: the distinct grams of the URLs of a bucket, per batch."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 2_000):
+            part = batch.slice(i, 2_000)
+            gram, owner = grams(part.column("url").to_pylist())
+            found = np.unique(np.stack([part.column("bucket").to_numpy()[owner], gram]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["bucket", "gram"])
+
+
+def fit_model(labelled: DataFrame) -> DataFrame:
+    """``gram, allow, block``: how often each gram stands in the rows of ``url, verdict, copies``, exactly.
+
+    A row per gram that occurs, so the model grows with the input; the counts of shorter contexts are sums of it.
+    """
+    return labelled.mapInArrow(count_grams, "gram long, allow long, block long").groupBy("gram").agg(
+        *(F.sum(name).alias(name) for name in CLASSES))
 
 
-def log_ratio(urls: list[str], counts: np.ndarray) -> np.ndarray:
-    """Mean log-likelihood per character under the accepted URLs' model less that under the rejected ones'; 0 if empty.
+def gram_ratios(wanted: DataFrame, model: DataFrame) -> DataFrame:
+    """``gram, ratio`` for each of the distinct grams ``wanted``: the byte's log-likelihood after its context under the accepted URLs' model
+    less that under the rejected ones'.
 
     The estimate of each order is its count ratio, smoothed by ``PRIOR`` observations of the next shorter context's.
+    Tables keyed by up to two bytes have 65,536 rows at most and are broadcast; the others are joined as Catalyst decides, and one
+    key of theirs has 65,536 distinct grams at most.
     """
-    if not urls:
-        return np.empty(0)
-    context, joint, owner = grams(urls)
-    logs = []
-    for seen in counts:
-        estimate = np.full(len(owner), 1 / 256)
-        for order in range(ORDER + 1):
-            estimate = (np.minimum(seen[1, order][joint[order]], seen[0, order][context[order]]) + PRIOR * estimate) / (
-                seen[0, order][context[order]] + PRIOR)
-        logs.append(np.log(estimate))
-    size = np.bincount(owner, minlength=len(urls))
-    return np.bincount(owner, logs[0] - logs[1], len(urls)) / np.maximum(size, 1)
-
-
-def scorer(counts: np.ndarray):
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for urls in parts:
-            texts = ["" if url is None or url != url else url for url in urls]
-            yield pd.Series(np.concatenate([log_ratio(texts[i:i + 2_000], counts) for i in range(0, len(texts), 2_000)] or [np.empty(0)]))
-    return score
-
-
-def fit_model(labelled: DataFrame) -> np.ndarray:
-    """Counts over all rows of ``url, verdict``, as an array of a fixed size: 2 classes x 2 x 5 orders x 65,536 cells.
-
-    Tasks add up their own counters, Spark adds up the tasks'. All labelled rows count; only the array's size is bounded.
+    def counts(keys, size: int, name: str) -> DataFrame:
+        found = model.groupBy(keys.alias(name)).agg(*(F.sum(c).alias(f"{name}_{c}") for c in CLASSES))
+        return F.broadcast(found) if size <= 2 else found
+
+    rows = wanted.withColumns({name: F.lit(1 / 256) for name in CLASSES})
+    for order in range(ORDER + 1):
+        joint = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+        context = F.shiftright(joint, 8)
+        rows = rows.withColumns({"joint": joint, "context": context}).join(counts(joint, order + 1, "joint"), "joint", "left").join(
+            counts(context, order, "context"), "context", "left").select("gram", *(
+                ((F.coalesce(f"joint_{c}", F.lit(0)) + PRIOR * F.col(c)) / (F.coalesce(f"context_{c}", F.lit(0)) + PRIOR)).alias(c)
+                for c in CLASSES))
+    return rows.select("gram", (F.log("allow") - F.log("block")).alias("ratio"))
+
+
+def score_bucket(urls: pa.Table, ratios: pa.Table) -> pa.Table:
+    """The rows of a bucket with the mean ratio of each URL's grams, 0 for an empty one."""
+    gram, owner = grams(urls.column("url").to_pylist())
+    total = np.zeros(urls.num_rows)
+    if len(gram):
+        known = ratios.column("gram").to_numpy()
+        order = np.argsort(known)
+        value = ratios.column("ratio").to_numpy()[order]
+        total = np.bincount(owner, value[np.searchsorted(known[order], gram)], urls.num_rows)
+    size = np.bincount(owner, minlength=urls.num_rows)
+    return urls.drop_columns(["bucket"]).append_column("score", pa.array(total / np.maximum(size, 1)))
+
+
+def scored_urls(rows: DataFrame, model: DataFrame, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
+    """``rows``, which have a ``url``, with ``score``.
+
+    Rows are dealt into buckets by hash of all their columns, of some ``bucket_chars`` characters each. A bucket's distinct grams meet the model
+    in a join and come back to the bucket, so a gram of every URL has one row per bucket there, and neither
+    the model nor the URLs must fit in one task.
     """
-    cells = labelled.select("url", "verdict").mapInPandas(count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(CLASSES) * 2 * (ORDER + 1) * CELLS, np.float32)
-    found = cells.toPandas()
-    counts[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(np.float32)
-    return counts.reshape(len(CLASSES), 2, ORDER + 1, CELLS)
+    spark = rows.sparkSession
+    chars = rows.agg(F.sum(F.length("url"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // bucket_chars))
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(*rows.columns), F.lit(buckets)))
+    wanted = stored(dealt.select("bucket", "url").mapInArrow(bucket_grams, "bucket long, gram long").distinct(), "grams")
+    ratios = wanted.join(gram_ratios(wanted.select("gram").distinct(), model), "gram").select("bucket", "gram", "ratio")
+    return dealt.groupBy("bucket").cogroup(ratios.groupBy("bucket")).applyInArrow(
+        score_bucket, rows.schema.add("score", "double"))
 
 
 def calibrate(scored: DataFrame) -> float:
     """The score from which on URLs are accepted: the step that parts ``verdict`` best, by the mean of both classes' recall.
 
-    Of equally good steps the middle one, or 0 without rows of both classes. Scores are counted in a histogram of fixed width.
+    Rows have ``verdict, score, copies``. Of equally good steps the middle one, or 0 without rows of both classes. Scores are counted in a histogram of fixed width.
     """
     bin_of = F.floor((F.greatest(F.lit(-SPAN), F.least(F.lit(SPAN), F.col("score"))) + SPAN) / STEP).cast("int")
-    rows = scored.groupBy(bin_of.alias("bin"), "verdict").count().collect()
+    rows = scored.groupBy(bin_of.alias("bin"), "verdict").agg(F.sum("copies").alias("copies")).collect()
     hist = np.zeros((2, round(2 * SPAN / STEP) + 2))
     for row in rows:
-        hist[CLASSES.index(row["verdict"]), row["bin"] + 1] += row["count"]
+        hist[CLASSES.index(row["verdict"]), row["bin"] + 1] += row["copies"]
     if not hist.sum(1).all():
         return 0.0
     allowed = 1 - np.cumsum(hist[0])[:-1] / hist[0].sum()
@@ -140,24 +168,27 @@ def calibrate(scored: DataFrame) -> float:
     return float(best[len(best) // 2] * STEP - SPAN)
 
 
-def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, rules=RULES, bucket_chars: int = BUCKET_CHARS) -> DataFrame:
     """Per row ``page_id, host, path, rule, verdict, score``: the longest fitting rule's verdict, else the models'.
 
     URLs that a rule judges teach the models: four in five are counted, the fifth, by a hash of the URL, fits the
     threshold. ``score`` is null where a rule decides. A null or empty url has empty host and path, score 0 and is allowed;
-    other columns are ignored; rows are judged one by one, so repeated ones alike. Without rules' examples of either kind, all else is allowed.
+    other columns are ignored. Rows of equal id and url are judged once and returned as often as they stand, null ids
+    like any other. Without rules' examples of either kind, all else is allowed.
     """
     host, path = url_host(F.col("url")), url_path(F.col("url"))
-    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path")).withColumn(
-        "found", matching_rule(F.col("host"), F.col("path"), rules))
-    labelled = rows.where(F.col("found").isNotNull()).select("url", F.col("found.verdict").alias("verdict"))
+    once = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url")).groupBy("page_id", "url").agg(F.count("*").alias("copies"))
+    found = matching_rule(F.col("host"), F.col("path"), rules)
+    rows = stored(once.withColumns({"host": host, "path": path}).withColumn("found", found).select(
+        "page_id", "url", "copies", "host", "path", "found.rule", F.col("found.verdict").alias("verdict")), "urls")
     kept_out = F.pmod(F.xxhash64("url"), F.lit(HOLD_OUT)) == 0
-    counts = fit_model(labelled.where(~kept_out))
-    score = scorer(counts)
-    threshold = calibrate(labelled.where(kept_out).select("verdict", score("url").alias("score")))
-    one_sided = not counts[:, 0, 0].any(axis=1).all()
-    open_rows = F.when(F.col("found").isNull(), F.col("url"))
-    judged = rows.withColumn("score", F.when(F.col("found").isNull(), score(F.coalesce(open_rows, F.lit("")))))
-    fine = F.lit(True) if one_sided else (F.col("url") == "") | (F.col("score") >= threshold)
-    return judged.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce(
-        F.col("found.verdict"), F.when(fine, "allow").otherwise("block")).alias("verdict"), "score")
+    labelled = F.col("verdict").isNotNull()
+    model = stored(fit_model(rows.where(labelled & ~kept_out).select("url", "verdict", "copies")), "model")
+    taught = model.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in CLASSES)).first()
+    scored = stored(scored_urls(rows.where(~labelled | kept_out), model, bucket_chars), "scored")
+    threshold = calibrate(scored.where(labelled))
+    fine = F.lit(True) if not all(taught) else (F.col("url") == "") | (F.col("score") >= threshold)
+    ruled = rows.where(labelled).withColumn("score", F.lit(None).cast("double"))
+    opened = scored.where(~labelled).withColumn("verdict", F.when(fine, "allow").otherwise("block"))
+    return ruled.unionByName(opened).select(
+        "page_id", "host", "path", "rule", "verdict", "score", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")

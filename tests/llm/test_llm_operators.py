@@ -135,6 +135,48 @@ def test_url_rules(spark):
     assert found[0]["verdict"] == found[1]["verdict"] == "allow"
 
 
+@pytest.mark.parametrize("bucket_chars", [1 << 19, 200])
+def test_url_scores_equal_plain_models(spark, bucket_chars):
+    urls = [f"http://{('a', 'bé', 'shop')[i % 3]}{i % 7}.{('org/fr', 'net', 'com', 'example.com/de')[i % 4]}/{i * i % 101}" for i in range(120)]
+    urls += [None, "", "no scheme", "x" * 3_000, *["http://hot.com/"] * 60]
+    rows = spark.createDataFrame([(None if i == 5 else 2**60 + i % 150, url, 1) for i, url in enumerate(urls)], "page_id long, url string, score int")
+    found = url_filter.judge_urls(rows, bucket_chars=bucket_chars).collect()
+    assert len(found) == len(urls)
+    ruled = {}
+    for url in urls:
+        host, path = ("", "") if "://" not in (url or "") else (url.split("/")[2], "/" + url.split("/", 3)[3])
+        fits = [(len(h + p), v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        ruled[url] = max(fits)[1] if fits else None
+    held = spark.createDataFrame([(url,) for url in set(urls) if url], "url string").where(
+        F.pmod(F.xxhash64("url"), F.lit(url_filter.HOLD_OUT)) == 0).collect()
+    held = {row["url"] for row in held}
+    seen = {name: defaultdict(int) for name in url_filter.CLASSES}
+    for url in urls:
+        if ruled[url] and url not in held:
+            data = bytes(4) + url.encode()
+            for at in range(4, len(data)):
+                for order in range(5):
+                    seen[ruled[url]][data[at - order:at], None] += 1
+                    seen[ruled[url]][data[at - order:at], data[at]] += 1
+
+    def score(url):
+        data, logs = bytes(4) + (url or "").encode(), 0.0
+        for at in range(4, len(data)):
+            for sign, counts in zip((1, -1), seen.values()):
+                estimate = 1 / 256
+                for order in range(5):
+                    context = data[at - order:at]
+                    estimate = (counts[context, data[at]] + 2 * estimate) / (counts[context, None] + 2)
+                logs += sign * np.log(estimate)
+        return logs / max(len(data) - 4, 1)
+
+    got = sorted((row["page_id"] or 0, row["host"], row["path"], row["verdict"] if ruled_by else "", row["score"] if not ruled_by else None)
+                 for row in found for ruled_by in [row["rule"]] if not ruled_by)
+    want = sorted((0 if i == 5 else 2**60 + i % 150, score(url)) for i, url in enumerate(urls) if not ruled[url])
+    assert len(got) == len(want)
+    assert np.allclose(sorted(row[-1] for row in got), sorted(x for _, x in want)) and [row[0] for row in got] == [x for x, _ in want]
+
+
 def test_url_models_tell_hosts_apart(spark):
     good = [f"http://site{i % 40}.example.net/en/story-{i}" for i in range(400)]
     bad = [f"http://cheap-pills-{i % 40}.net/buy-now-{i}" for i in range(400)]
@@ -434,5 +476,45 @@ def test_quality_drops_junk_and_keeps_prose(spark, docs_of):
     assert not got.pop(99) and all(got.values())
 
 
+def prose(n):
+    """Unlike clean texts of some 70 words."""
+    line = "The house of the king is in the old town and it was for a long time on the hill to the west of that river."
+    return [f"{line} Number word{i} and the other word{i + 1} in a row of it{i}. {line.replace('king', f'lord{i}')}" for i in range(n)]
+
+
+@pytest.mark.parametrize("junk", [
+    [" ".join(f"w{j}%%% x{j}### $$$" for j in range(2_000 + i)) for i in range(5)],
+    [" ".join(f"w{j}%%% x{j}### $$$" for j in range(60))] * 30,
+    [" ".join(f"W{j}{i} QRST 2024 #" for j in range(60)) for i in range(30)],
+    ["the of " * 2_000, "### " * 2_000, "1 2 3"]], ids=["a few long", "a third of copies", "a third unlike", "failed by the base rules"])
+def test_junk_does_not_become_the_reference(docs_of, junk):
+    texts = prose(60)
+    rows = [(i, text, "en", None) for i, text in enumerate(texts)] + [(1000 + i, text, "en", None) for i, text in enumerate(junk)]
+    found = quality.quality(docs_of(rows), max_repeat_percent=90).collect()
+    assert {row["doc_id"] for row in found if row["kept"]} == set(range(60))
+
+
+def test_quality_references(spark, docs_of):
+    rows = [(i, text, ("en", "xx")[i % 2], None) for i, text in enumerate(prose(40))]
+    found = {row["doc_id"]: row for row in quality.quality(docs_of(rows + rows[:2] * 50), max_repeat_percent=100).collect()}
+
+    def shares(text):
+        words = "".join(WORD.findall(text))
+        upper, digits, symbols = (len(re.findall(pattern, words)) for pattern in ("[A-Z]", "[0-9]", r"[#*$%&|<>]"))
+        marks = len(re.findall(r"[.,;:!?'\"()\-]", words))
+        return np.array([upper, digits, symbols, marks, len(text) - len(words), len(words) - upper - digits - symbols - marks]) / len(text)
+
+    for group in (0, 1):
+        mine = np.array([shares(text) for _, text, _, _ in rows[group::2]])
+        middle = np.percentile(mine.round(3), [35, 40, 45, 50, 55, 60, 65], axis=0).mean(0)
+        for (i, *_), p in zip(rows[group::2], mine):
+            q = middle / middle.sum()
+            m = (p + q) / 2
+            want = sum(x * np.log2(x / y) for x, y in zip([*p, *q], [*m, *m]) if x > 0) / 2
+            assert abs(found[i]["char_distance"] - max(want, 0) ** 0.5) < 1e-9 and (found[i]["word_distance"] is None) == (group == 1)
+    few = quality.quality(docs_of([(1, " ".join(f"w{i}%%% $$$" for i in range(60)), "en", None)])).collect()[0]
+    assert few["kept"] and few["char_distance"] is None
+
+
 def test_queries_cover_the_operators():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
