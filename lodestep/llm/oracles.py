@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from lodestep.llm.quality import COMMON_WORDS
+
 OP1 = r"""
 WITH sized AS (SELECT doc_id, source, len(array_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS size,
   md5('1:' || coalesce(CAST(doc_id AS varchar), '')) AS key FROM documents),
@@ -75,5 +77,35 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, CAST(n AS bigint) AS n, CAST(score AS bigint) AS score FROM ranked WHERE rank <= 2000
 """
 
-ORACLES = {"op1_mix_sources": OP1.strip(), "op2_warc": OP2.strip(), "op4_decontamination": OP4.strip(),
+_COMMON = ", ".join(f"('{lang}', {i}, '{word}', '{word.capitalize()}')" for lang, words in COMMON_WORDS.items() for i, word in enumerate(words))
+OP10 = rf"""
+WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+  CASE WHEN lang IN ({", ".join(f"'{lang}'" for lang in COMMON_WORDS)}) THEN lang ELSE 'other' END AS grp,
+  array_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+  array_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+sized AS (SELECT *, len(words) AS n, length(array_to_string(words, '')) AS word_chars, length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper,
+  length(regexp_replace(text, '[^0-9]+', '', 'g')) AS n_digits, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+  length(regexp_replace(text, '[^.,;:!?''"()\-]+', '', 'g')) AS n_marks FROM texts),
+windows AS MATERIALIZED (SELECT rid, i, array_to_string(array_slice(words, i, i + 4), ' ') AS five FROM (SELECT rid, words, unnest(generate_series(1, n - 4)) AS i FROM sized WHERE n > 4)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, five) AS c FROM windows) WHERE c > 1),
+repeats AS (SELECT rid, count(DISTINCT place) AS n_repeat FROM (SELECT rid, unnest(generate_series(i, i + 4)) AS place FROM twice) GROUP BY rid),
+counted AS MATERIALIZED (SELECT s.*, coalesce(n_repeat, 0) AS n_repeat, n < 10 OR 100 * coalesce(n_repeat, 0) > 20 * n AS failed FROM sized s LEFT JOIN repeats USING (rid)),
+bins AS MATERIALIZED (SELECT rid, grp, text, 'chars' AS kind, generate_subscripts(v, 1) AS i, unnest(v) AS v
+  FROM (SELECT *, [n_upper, n_digits, n_symbols, n_marks, length(text) - word_chars, word_chars - n_upper - n_digits - n_symbols - n_marks] AS v FROM counted WHERE n >= 50 AND NOT failed)
+  UNION ALL SELECT rid, grp, text, 'words', c.i, len(array_filter(words, lambda w: w = c.word OR w = c.big))
+  FROM counted JOIN (VALUES {_COMMON}) AS c(lang, i, word, big) ON grp = lang WHERE n >= 50 AND NOT failed),
+shares AS MATERIALIZED (SELECT *, CAST(v AS double) / total AS share FROM (SELECT *, sum(v) OVER (PARTITION BY rid, kind) AS total FROM bins)
+  WHERE total > 0 AND (kind = 'chars' OR total >= 20)),
+middles AS (SELECT grp, kind, i, list_avg(quantile_cont(round(share, 3), [0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65])) AS m
+  FROM (SELECT DISTINCT grp, kind, i, text, share FROM shares) GROUP BY grp, kind, i HAVING count(*) >= 10),
+models AS (SELECT grp, kind, i, m / nullif(sum(m) OVER (PARTITION BY grp, kind), 0) AS q FROM middles),
+distances AS (SELECT rid, kind, sqrt(greatest(0, sum(CASE WHEN share > 0 THEN share * log2(2 * share / (share + q)) ELSE 0 END
+  + CASE WHEN q > 0 THEN q * log2(2 * q / (share + q)) ELSE 0 END) / 2)) AS far FROM shares JOIN models USING (grp, kind, i) WHERE q IS NOT NULL GROUP BY rid, kind),
+dropped AS (SELECT DISTINCT rid FROM distances WHERE far > CASE kind WHEN 'chars' THEN 0.3 ELSE 0.6 END)
+SELECT doc_id, n AS n_words, CAST(word_chars AS bigint) AS word_chars, CAST(n_symbols AS bigint) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines, n_repeat AS n_repeat_words, failed AS base_failed,
+  NOT failed AND d.rid IS NULL AS kept FROM counted c LEFT JOIN dropped d ON c.rid = d.rid
+"""
+
+ORACLES = {"op1_mix_sources": OP1.strip(), "op2_warc": OP2.strip(), "op4_decontamination": OP4.strip(), "op10_quality": OP10.strip(),
            "op11_chat": OP11.strip(), "op13_collocations": OP13.strip()}
