@@ -86,22 +86,47 @@ def table_topics(tables: Tables) -> DataFrame:
     return chunks.table_chunks(table_rows(tables)).withColumnRenamed("part_no", "table_no")
 
 
-@query("chunk_cascade", f"""
-WITH {CTE_LINES}, {CTE_TABLES},
-few_tables AS (SELECT * FROM table_chunks WHERE hours = 3),
-t AS (SELECT doc, count(*) AS n FROM few_tables GROUP BY doc), l AS (SELECT doc, count(*) AS n FROM line_chunks GROUP BY doc),
-docs AS (SELECT DISTINCT doc FROM (SELECT doc FROM marked UNION ALL SELECT doc FROM table_rows)),
-choice AS (SELECT docs.doc, CASE WHEN t.n >= 60 THEN 'table' ELSE 'line' END AS origin FROM docs LEFT JOIN t ON t.doc = docs.doc LEFT JOIN l ON l.doc = docs.doc)
-SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN few_tables f ON c.doc = f.doc WHERE origin = 'table'
-UNION ALL SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN line_chunks f ON c.doc = f.doc WHERE origin = 'line'""")
-def chunk_cascade(tables: Tables) -> DataFrame:
+#: Table topics that make a document's tables enough; about half of the documents have as many.
+ENOUGH = 235
+CTE_CHOICE = f"""
+t AS (SELECT doc, count(*) AS n FROM table_chunks GROUP BY doc), l AS (SELECT doc, count(*) AS n FROM line_chunks GROUP BY doc),
+docs AS (SELECT DISTINCT doc FROM (SELECT doc FROM marked UNION ALL SELECT doc FROM table_rows))"""
+
+
+def _cascaded(tables: Tables, external: DataFrame | None = None) -> DataFrame:
     rows = table_rows(tables)
     docs = pages(tables).select("doc").unionByName(rows.select("doc")).distinct()
-    long_topics = cut_lineage(chunks.table_chunks(rows).filter(F.col("hours") == 3))
-    chosen = chunks.cascaded_chunks(docs, long_topics, lines(tables), min_topics=60)
+    chosen = chunks.cascaded_chunks(docs, cut_lineage(chunks.table_chunks(rows)), cut_lineage(lines(tables)), external, ENOUGH)
     return chosen.select("doc", "origin", "page_no", "row_no", "raw")
 
 
+@query("chunk_cascade", f"""
+WITH {CTE_LINES}, {CTE_TABLES}, {CTE_CHOICE},
+choice AS (SELECT docs.doc, CASE WHEN t.n >= {ENOUGH} THEN 'table' ELSE 'line' END AS origin FROM docs LEFT JOIN t ON t.doc = docs.doc)
+SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN table_chunks f ON c.doc = f.doc WHERE origin = 'table'
+UNION ALL SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN line_chunks f ON c.doc = f.doc WHERE origin = 'line'""")
+def chunk_cascade(tables: Tables) -> DataFrame:
+    return _cascaded(tables)
+
+
+@query("chunk_cascade_external", f"""
+WITH {CTE_LINES}, {CTE_TABLES}, {CTE_CHOICE},
+topics AS ({inputs.plain(inputs.TOPICS)}),
+e AS (SELECT source AS doc, 1 AS page_no, CAST(chunk_no AS int) AS row_no, raw FROM topics),
+choice AS (SELECT docs.doc, CASE WHEN t.n >= {ENOUGH} THEN 'table' WHEN l.n >= {ENOUGH} THEN 'line'
+  WHEN docs.doc IN (SELECT doc FROM e) THEN 'external' ELSE 'line' END AS origin
+  FROM docs LEFT JOIN t ON t.doc = docs.doc LEFT JOIN l ON l.doc = docs.doc)
+SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN table_chunks f ON c.doc = f.doc WHERE origin = 'table'
+UNION ALL SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN line_chunks f ON c.doc = f.doc WHERE origin = 'line'
+UNION ALL SELECT c.doc, origin, page_no, row_no, raw FROM choice c JOIN e ON c.doc = e.doc WHERE origin = 'external'""")
+def chunk_cascade_external(tables: Tables) -> DataFrame:
+    """The cascade with the topics of another extraction where tables and lines are too few."""
+    external = tables.derived(inputs.TOPICS).select(
+        F.col("source").alias("doc"), F.lit(1).alias("page_no"), F.lit(0).alias("part_no"), F.col("chunk_no").cast("int").alias("row_no"),
+        "raw", "bt", "unit", F.col("hours").cast("int").alias("hours"), F.lit("theory").alias("kind"))
+    return _cascaded(tables, external)
+
+
 @query("document_lengths", f"""
 SELECT 's' || CAST(conv_id AS varchar) AS doc, count(*) AS n_pages, CAST(sum(length({sql_strip("text")})) AS bigint) AS text_length,
   sum(length({sql_strip("text")})) < 200 AS unreadable FROM conversations GROUP BY conv_id""")
@@ -292,7 +317,7 @@ def category_counts(tables: Tables) -> DataFrame:
 
 @query("supply_report")
 def supply_report(tables: Tables) -> DataFrame:
-    """The whole teaching side with the full taxonomy, on lesson tables made of the topic rows."""
+    """The whole teaching side with the full taxonomy, on lesson tables made of the topic rows and the conversations as further pages."""
     rows = tables.derived(inputs.TOPICS)
     lessons = rows.select(
         F.concat("source", F.lit(".pdf")).alias("doc"), F.lit(1).alias("page_no"),
@@ -301,5 +326,9 @@ def supply_report(tables: Tables) -> DataFrame:
     heads = rows.select("source").distinct().select(
         F.concat("source", F.lit(".pdf")).alias("doc"), F.lit(1).alias("page_no"), F.lit(-1).alias("table_no"),
         F.lit(0).alias("row_no"), F.array(*map(F.lit, ["Unit", "Topics", "CO-BT", "Hours"])).alias("cells"))
-    texts = heads.select("doc", "page_no", F.lit("Course Name Programming Course Code 23CSH-101").alias("text"))
-    return plan.supply_report(texts, heads.unionByName(lessons), tables.derived(inputs.DICTIONARY))
+    # A title page for every document, then a conversation's turns as its lecture plan; what has no table gives its lines.
+    turns = pages(tables).select(F.concat("doc", F.lit(".pdf")).alias("doc"), (F.col("page_no") + 2).alias("page_no"),
+                                 F.concat(F.lit(fixed.SECTION_ON[0] + "\n"), "text").alias("text"))
+    titles = heads.select("doc").union(turns.select("doc")).distinct().select(
+        "doc", F.lit(1).alias("page_no"), F.lit("Course Name Programming Course Code 23CSH-101").alias("text"))
+    return plan.supply_report(titles.unionByName(turns), heads.unionByName(lessons), tables.derived(inputs.DICTIONARY))
