@@ -24,6 +24,8 @@ BRANCHES = 8
 PATH = 3
 #: Nodes with up to so many members outside their most frequent component are compared exhaustively.
 SMALL = 16
+#: The smallest similarity that candidates are searched for.
+LEAST_PERCENT = 75
 #: Least estimated similarity of a pair worth an exact comparison: 5 standard deviations below 0.75.
 ESTIMATE = 0.53
 #: Marks by which a large node's leader is chosen.
@@ -242,8 +244,11 @@ def near_links(docs: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame
 
     Rows with equal shingle sets form a class, known by its smallest id; ``member`` is that id, null without
     shingles. Links are pairs of classes whose sets share ``percent`` of their union or more, confirmed on whole sets;
-    pairs that others have put into one component before they met are left out.
+    pairs that others have put into one component before they met are left out. The trees and the estimate are laid out for 75 % and
+    more; a smaller ``percent`` would lose links, so it is refused.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent must be {LEAST_PERCENT} or more, not {percent}")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     sketched = stored(texts.mapInArrow(sketch_batches, SKETCHES), "sets")
     # An id may stand for several rows with several texts; the hash tells which is the class's.

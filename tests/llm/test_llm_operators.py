@@ -426,6 +426,11 @@ def test_near_duplicates(spark, data, docs_of):
     assert kept.columns == made.columns and {row["doc_id"] for row in kept.collect()} == {i for i, (_, c) in got.items() if i == c}
 
 
+def test_near_duplicates_refuse_what_trees_cannot_find(none):
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(none, percent=50)
+
+
 def test_near_duplicates_chains(spark, docs_of):
     """Copies of copies drift from the first text, so most members of the large nodes are linked to few others."""
     random = np.random.default_rng(1)
