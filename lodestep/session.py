@@ -28,7 +28,7 @@ def build_session(master: str = "local[*]", app: str = "lodestep", **conf: str)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; where none is named, one beside the warehouse, which is shared too."""
+    """The shared folder the cluster names; where none is named, one beside the warehouse, if executors can reach that."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -36,6 +36,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/lodestep-checkpoints"
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share; the warehouse lies on one machine")
     context.setCheckpointDir(folder)
     return folder
 

@@ -1,4 +1,5 @@
 import json
+from unittest.mock import Mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from lodestep.operators import dictionary
 from lodestep.operators.trend import usage_series
 from lodestep.plans.demand_report import demand_report
 from lodestep.plans.supply_report import supply_report
+from lodestep.session import checkpoint_folder
 from lodestep.sources import csv_files, sinks, syllabus_tables
 from lodestep.streaming import snapshots
 
@@ -172,3 +174,19 @@ def test_file_stream_equals_batch(spark, tmp_path):
         availableNow=True).start()
     live.awaitTermination(120)
     assert spark.table("live").count() > 0
+
+
+@pytest.mark.parametrize("master, named, warehouse, folder", [
+    ("local[8]", None, "file:/here/warehouse", "file:/here/warehouse/lodestep-checkpoints"),
+    ("spark://host:7077", "file:/shared", "file:/here/warehouse", "file:/shared"),
+    ("spark://host:7077", None, "hdfs://store/warehouse/", "hdfs://store/warehouse/lodestep-checkpoints"),
+    ("spark://host:7077", None, "file:/here/warehouse", None)])
+def test_checkpoints_never_lie_on_one_machine_of_a_cluster(master, named, warehouse, folder):
+    session = Mock()
+    session.sparkContext.master, session.sparkContext.getCheckpointDir.return_value = master, None
+    session.conf.get = lambda name, *default: warehouse if name == "spark.sql.warehouse.dir" else named
+    if folder is None:
+        with pytest.raises(ValueError):
+            checkpoint_folder(session)
+    else:
+        assert checkpoint_folder(session) == folder
