@@ -216,7 +216,7 @@ def _sql_any(words: list[str]) -> str:
     return "(" + " OR ".join(f"contains(lower(label), '{word}')" for word in words) + ")"
 
 
-@query("demand_records", f"""{WITH_COUNTS},
+SQL_RECORDS = f"""
 labelled AS (SELECT verified.*, uri, label, CASE WHEN {_sql_any(fixed.RISING_LABELS)} THEN 'rising'
     WHEN {_sql_any(fixed.FADING_LABELS)} THEN 'fading' WHEN p_size % 2 = 0 THEN 'steady' END AS trend,
   CASE WHEN p_size % 2 = 0 THEN {fixed.STEADY_MULTIPLIER}::double ELSE {fixed.RISING_MULTIPLIER} ::double END AS multiplier
@@ -228,17 +228,27 @@ SELECT 'esco_' || substr(sha1(uri), 1, 16) AS skill_id, label AS skill_name, uri
     WHEN junior_share >= 0.35 THEN 'apply' WHEN core_builder_share >= 0.25 THEN 'build' ELSE 'apply' END AS demand_depth,
   trend, est AS trend_2030_estimate, CAST(round_even(est * CAST(0.85 AS double), 0) AS int) AS band_low,
   CAST(round_even(est * CAST(1.15 AS double), 0) AS int) AS band_high
-FROM estimated""")
-def demand_records(tables: Tables) -> DataFrame:
+FROM estimated"""
+
+
+def part_trends(tables: Tables) -> DataFrame:
+    """``skill_idx, trend, multiplier`` by the parts' size."""
     even = F.col("p_size") % 2 == 0
-    trends = tables.part.select(
+    return tables.part.select(
         F.col("p_partkey").alias("skill_idx"), F.when(even, "steady").alias("trend"),
         F.when(even, fixed.STEADY_MULTIPLIER).otherwise(fixed.RISING_MULTIPLIER).alias("multiplier"))
-    records = demand.demand_records(demand.verified_skills(base_counts(tables)), entries(tables), trends)
+
+
+def with_band(records: DataFrame) -> DataFrame:
     return records.withColumns({"band_low": F.col("trend_confidence_band")[0],
                                 "band_high": F.col("trend_confidence_band")[1]}).drop("trend_confidence_band")
 
 
+@query("demand_records", f"{WITH_COUNTS}, {SQL_RECORDS}")
+def demand_records(tables: Tables) -> DataFrame:
+    return with_band(demand.demand_records(demand.verified_skills(base_counts(tables)), entries(tables), part_trends(tables)))
+
+
 @query("source_counts", "SELECT source, count(*) AS n_rows FROM documents GROUP BY source")
 def source_counts(tables: Tables) -> DataFrame:
     return counts_by(tables.documents, "source")
@@ -272,10 +282,11 @@ def near_duplicate_postings(tables: Tables) -> DataFrame:
 
 
 _LISTED = "SELECT 'http://example.org/skill/' || CAST(l_partkey AS varchar(20)) AS uri FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 45"
-_IN_ORDER = inputs.WITH_COUNTS.replace("WITH ", "WITH RECURSIVE ", 1).replace(
-    inputs.CTE_DICTIONARY, f"dictionary AS (SELECT * FROM ({inputs.plain(inputs.DICTIONARY)}) WHERE uri IN ({inputs.plain(_LISTED)}))").replace(
+_WITH_UNIQUE = inputs.WITH_COUNTS.replace("WITH ", "WITH RECURSIVE ", 1).replace(
     inputs.CTE_PAIRS, f"""{CTE_UNIQUE},
 {inputs.CTE_PAIRS.replace("FROM postings", "FROM postings SEMI JOIN kept_first ON posting = ord")}""")
+_IN_ORDER = _WITH_UNIQUE.replace(
+    inputs.CTE_DICTIONARY, f"dictionary AS (SELECT * FROM ({inputs.plain(inputs.DICTIONARY)}) WHERE uri IN ({inputs.plain(_LISTED)}))")
 
 
 @query("unique_demand_counts", f"""{_IN_ORDER}
@@ -302,7 +313,7 @@ def near_duplicate_documents_minhash(tables: Tables) -> DataFrame:
     return keep_first(bodies, "source", "doc_id", "body", blocking="minhash").select("doc_id", "source")
 
 
-@query("demand_report")
+@query("demand_report", f"{_WITH_UNIQUE}, {SQL_RECORDS}")
 def demand_report(tables: Tables) -> DataFrame:
     """The whole demand side, near-duplicate removal included."""
-    return plan.demand_report(postings(tables), entries(tables), dictionary.alias_table(tables.spark))
+    return with_band(plan.demand_report(postings(tables), entries(tables), dictionary.alias_table(tables.spark), trends=part_trends(tables)))

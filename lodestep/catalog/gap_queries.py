@@ -46,12 +46,16 @@ def usage_series(tables: Tables) -> DataFrame:
     return _rounded(trend.usage_series(responses, country="Fresher", delimiter=","), "usage")
 
 
-def _sql_fit(y: str, back: str) -> str:
+def _sql_fits(y: str, t_value: float) -> str:
     return f"""
 fits AS (SELECT skill_id, count(*) AS n, regr_slope({y}, year) AS slope, regr_intercept({y}, year) AS intercept,
   avg(year) AS m, regr_sxx({y}, year) AS sxx, regr_syy({y}, year) AS syy, regr_sxy({y}, year) AS sxy FROM series GROUP BY skill_id),
 spreads AS (SELECT *, intercept + slope * 2030 AS est, CASE WHEN n >= 3 THEN sqrt(greatest(syy - sxy * sxy / sxx, 0) / (n - 2))
-  * sqrt(1 + 1.0 / n + (2030 - m) * (2030 - m) / sxx) * 2.571 END AS half FROM fits)
+  * sqrt(1 + 1.0 / n + (2030 - m) * (2030 - m) / sxx) * {t_value} END AS half FROM fits)"""
+
+
+def _sql_fit(y: str, back: str) -> str:
+    return f"""{_sql_fits(y, 2.571)}
 SELECT skill_id, n, round(slope, 6) AS slope, round(intercept, 4) AS intercept, {_sql_direction("slope")} AS trend,
   round({back}(est), 6) AS estimate, round({back}(est - half), 6) AS low, round({back}(est + half), 6) AS high FROM spreads"""
 
@@ -88,9 +92,16 @@ def directional_accuracy(tables: Tables) -> DataFrame:
     return _rounded(trend.directional_accuracy(tested), "accuracy")
 
 
-@query("trend_bootstrap")
+@query("trend_bootstrap", f"""
+WITH {CTE_SERIES},
+draws AS (SELECT *, CAST('0x' || substr(md5(concat_ws(':', skill_id, year, draw, 42)), 1, {trend.DRAW_DIGITS}) AS bigint) / CAST({16 ** trend.DRAW_DIGITS} AS double) AS u
+  FROM series, (SELECT unnest(generate_series(1, 200)) AS draw) AS numbers),
+weighted AS (SELECT skill_id, draw, year - 2030 AS x, usage AS y, len(list_filter({trend.poisson_limits()}::double[], lambda least: u >= least)) AS w FROM draws),
+sums AS (SELECT skill_id, draw, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM weighted GROUP BY skill_id, draw),
+refits AS (SELECT skill_id, (sy * sxx - sx * sxy) / nullif(CAST(n * sxx - sx * sx AS double), 0) AS v FROM sums)
+SELECT skill_id, round(quantile_cont(v, 0.025), 6) AS low, round(quantile_cont(v, 0.975), 6) AS high FROM refits GROUP BY skill_id""")
 def trend_bootstrap(tables: Tables) -> DataFrame:
-    return trend.bootstrap_range(series(tables))
+    return _rounded(trend.bootstrap_range(series(tables)), "low", "high")
 
 
 _TAUGHT = """
@@ -112,32 +123,46 @@ def _sql_any(words: list[str]) -> str:
     return "(" + " OR ".join(f"contains(lower(label), '{word}')" for word in words) + ")"
 
 
-@query("ranked_gaps", f"""{WITH_COUNTS}, {CTE_SERIES},
-slopes AS (SELECT skill_id AS brand, regr_slope(usage, year) AS slope FROM series GROUP BY skill_id),
+CTE_ASKED = f"""
 taught AS (SELECT skill_idx, max(rank) AS rank FROM ({inputs.plain(_TAUGHT)}) GROUP BY skill_idx),
-asked AS (SELECT skill_idx AS skill_id, employers AS distinct_employers, CASE WHEN {_sql_any(inputs.fixed.APPLY_LABELS)} THEN 'apply'
+asked AS (SELECT skill_idx AS skill_id, label, employers AS distinct_employers, CASE WHEN {_sql_any(inputs.fixed.APPLY_LABELS)} THEN 'apply'
   WHEN {_sql_any(inputs.fixed.BUILD_LABELS)} THEN 'build' WHEN junior_share >= 0.35 THEN 'apply' WHEN core_builder_share >= 0.25 THEN 'build' ELSE 'apply' END AS demand_depth
-  FROM verified JOIN dictionary USING (skill_idx)),
+  FROM verified JOIN dictionary USING (skill_idx))"""
+
+
+def _sql_ranked(trends: str, columns: str) -> str:
+    """From ``asked`` and ``taught`` and a table of brands' trends to scored gaps with ``columns``."""
+    return f"""
 gaps AS (SELECT w.*, CASE t.rank WHEN 0 THEN 'know' WHEN 1 THEN 'apply' WHEN 2 THEN 'build' END AS taught_depth,
-  CASE demand_depth WHEN 'apply' THEN 1 ELSE 2 END - coalesce(t.rank, -1) AS depth_gap, {_sql_direction("slope")} AS trend
-  FROM asked w LEFT JOIN taught t ON skill_idx = skill_id JOIN part ON p_partkey = skill_id JOIN slopes ON brand = p_brand),
+  CASE demand_depth WHEN 'apply' THEN 1 ELSE 2 END - coalesce(t.rank, -1) AS depth_gap, {_sql_direction("slope")} AS trend, fit.* EXCLUDE (skill_id)
+  FROM asked w LEFT JOIN taught t ON skill_idx = w.skill_id JOIN part ON p_partkey = w.skill_id JOIN {trends} AS fit ON fit.skill_id = p_brand),
 scaled AS (SELECT *, min(depth_gap) OVER () AS g0, max(depth_gap) OVER () AS g1, min(distinct_employers) OVER () AS e0, max(distinct_employers) OVER () AS e1 FROM gaps)
-SELECT skill_id, distinct_employers, demand_depth, taught_depth, depth_gap, trend, round(0.5 * coalesce((depth_gap - g0) / nullif(CAST(g1 - g0 AS double), 0), 0)
+SELECT {columns}, round(0.5 * coalesce((depth_gap - g0) / nullif(CAST(g1 - g0 AS double), 0), 0)
   + 0.3 * coalesce((distinct_employers - e0) / nullif(CAST(e1 - e0 AS double), 0), 0)
-  + 0.2 * CASE trend WHEN 'rising' THEN 1 WHEN 'steady' THEN 0.5 ELSE 0 END, 6) AS priority_score FROM scaled""")
+  + 0.2 * CASE trend WHEN 'rising' THEN 1 WHEN 'steady' THEN 0.5 ELSE 0 END, 6) AS priority_score FROM scaled"""
+
+
+@query("ranked_gaps", f"""{WITH_COUNTS}, {CTE_SERIES}, {CTE_ASKED},
+slopes AS (SELECT skill_id, regr_slope(usage, year) AS slope FROM series GROUP BY skill_id),
+{_sql_ranked("slopes", "skill_id, distinct_employers, demand_depth, taught_depth, depth_gap, trend")}""")
 def ranked_gaps(tables: Tables) -> DataFrame:
     wanted, supply, trends = _gap_inputs(tables)
     return _rounded(gap.ranked_gaps(gap.joined_gaps(wanted, supply, trends)), "priority_score")
 
 
-@query("gap_report")
+@query("gap_report", f"""{WITH_COUNTS}, {CTE_SERIES}, {CTE_ASKED}, {_sql_fits("usage", 2.447)},
+{_sql_ranked("spreads", """skill_id, label AS skill_name, distinct_employers, demand_depth, taught_depth, depth_gap, trend,
+  round(est, 6) AS trend_2030_estimate, round(est - half, 6) AS band_low, round(est + half, 6) AS band_high""")}""")
 def gap_report(tables: Tables) -> DataFrame:
     """Ranked gaps with fitted trends and their range, by brand."""
     wanted, supply, _ = _gap_inputs(tables)
     yearly = tables.part.select(F.col("p_partkey").alias("part"), "p_brand").join(
         series(tables), F.col("p_brand") == F.col("skill_id")).select(F.col("part").alias("skill_id"), "year", "usage")
     named = wanted.join(entries(tables).select(F.col("skill_idx").alias("skill_id"), F.col("label").alias("skill_name")), "skill_id")
-    return plan.gap_report(named, supply, yearly, threshold=_LIMIT)
+    ranked = plan.gap_report(named, supply, yearly, threshold=_LIMIT)
+    band = F.col("trend_confidence_band")
+    return _rounded(ranked.withColumns({"band_low": band[0], "band_high": band[1]}).drop("trend_confidence_band"),
+                    "trend_2030_estimate", "band_low", "band_high", "priority_score")
 
 
 _EXPECTED = "CASE tie % 3 WHEN 0 THEN 'know' WHEN 1 THEN 'apply' ELSE 'build' END"

@@ -76,18 +76,25 @@ def directional_accuracy(tested: DataFrame) -> DataFrame:
     return tested.agg(F.count("*").alias("n_skills"), F.avg(F.col("hit").cast("double")).alias("accuracy"))
 
 
+#: Hexadecimal digits of a digest that make a number between 0 and 1.
+DRAW_DIGITS = 6
+
+
+def poisson_limits() -> list[float]:
+    """The chances of at most 0, 1, 2, ... under Poisson(1), as far as ``DRAW_DIGITS`` tell them from 1."""
+    shares = [math.exp(-1) / math.factorial(k) for k in range(20)]
+    return [limit for limit in itertools.accumulate(shares) if limit <= 1 - 16 ** -DRAW_DIGITS]
+
+
 def bootstrap_range(series: DataFrame, target_year: int = 2030, draws: int = 200, seed: int = 42,
                     level: float = 0.95) -> DataFrame:
     """``skill_id, low, high``: percentile range of refits on seeded Poisson-weighted points.
 
-    Weights come from hashes, so a rerun or a lost executor gives the same draws.
+    Weights come from the digest of ``skill_id:year:draw:seed``, so a rerun, a lost executor or another engine gives the same draws.
     """
-    steps = 1 << 24
-    uniform = F.pmod(F.xxhash64("skill_id", "year", "draw", F.lit(seed)), F.lit(steps)) / float(steps)
-    # Poisson(1), as far as the steps of the hash tell weights apart.
-    shares = [math.exp(-1) / math.factorial(k) for k in range(20)]
-    cumulative = [limit for limit in itertools.accumulate(shares) if limit <= 1 - 1 / steps]
-    weight = sum((F.when(uniform >= limit, 1).otherwise(0) for limit in cumulative), F.lit(0))
+    digest = F.md5(F.concat_ws(":", "skill_id", "year", "draw", F.lit(seed)))
+    uniform = F.conv(F.substring(digest, 1, DRAW_DIGITS), 16, 10).cast("long") / float(16 ** DRAW_DIGITS)
+    weight = sum((F.when(uniform >= limit, 1).otherwise(0) for limit in poisson_limits()), F.lit(0))
     x, y, w = F.col("year") - F.lit(target_year), F.col("usage"), F.col("w")
     sums = (
         series.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
