@@ -249,6 +249,23 @@ def demand_records(tables: Tables) -> DataFrame:
     return with_band(demand.demand_records(demand.verified_skills(base_counts(tables)), entries(tables), part_trends(tables)))
 
 
+_DRAWN = "CAST('0x' || substr(md5(uri), 1, 6) AS bigint) / CAST(16777216 AS double)"
+_RANGES = " ".join(f"WHEN trend = '{name}' THEN CAST({low} AS double) + {_DRAWN} * CAST({high - low} AS double)"
+                   for name, (low, high) in fixed.KEYWORD_MULTIPLIERS.items())
+
+
+@query("keyword_trends", f"""{WITH_COUNTS},
+labelled AS (SELECT skill_idx, label, uri, employers, CASE WHEN {_sql_any(fixed.RISING_LABELS)} THEN 'rising'
+  WHEN {_sql_any(fixed.FADING_LABELS)} THEN 'fading' END AS trend FROM verified JOIN dictionary USING (skill_idx)),
+estimated AS (SELECT *, CAST(round_even(employers * CASE {_RANGES} END, 0) AS int) AS est FROM labelled)
+SELECT 'esco_' || substr(sha1(uri), 1, 16) AS skill_id, trend, est AS trend_2030_estimate,
+  CAST(round_even(est * CAST(0.85 AS double), 0) AS int) AS band_low, CAST(round_even(est * CAST(1.15 AS double), 0) AS int) AS band_high FROM estimated""")
+def keyword_trends(tables: Tables) -> DataFrame:
+    """Trends that labels decide, without a table of fitted ones."""
+    records = demand.demand_records(demand.verified_skills(base_counts(tables)), entries(tables), keyword_ranges=fixed.KEYWORD_MULTIPLIERS)
+    return with_band(records).select("skill_id", "trend", "trend_2030_estimate", "band_low", "band_high")
+
+
 @query("source_counts", "SELECT source, count(*) AS n_rows FROM documents GROUP BY source")
 def source_counts(tables: Tables) -> DataFrame:
     return counts_by(tables.documents, "source")

@@ -118,6 +118,7 @@ JUNIOR_SHARE_MIN = 0.35
 BUILDER_SHARE_MIN = 0.25
 RISING_LABELS = ["machine learning", "artificial intelligence", "python", "deep learning", "cloud"]
 FADING_LABELS = ["php", "flash", "spreadsheet"]
+KEYWORD_MULTIPLIERS = {"rising": (1.35, 1.65), "fading": (0.65, 0.85)}
 STEADY_MULTIPLIER = 1.05
 RISING_MULTIPLIER = 1.30
 BAND = (0.85, 1.15)

@@ -163,6 +163,15 @@ def keyword_trend(label: Column, rising: list[str] = fixed.RISING_LABELS,
     return F.when(_holds_any(low, rising), "rising").when(_holds_any(low, fading), "fading")
 
 
+def drawn_multiplier(key: Column, trend: Column, ranges: dict[str, tuple[float, float]] = fixed.KEYWORD_MULTIPLIERS) -> Column:
+    """A number within the trend's range, picked by the digest of ``key``; null for trends without a range."""
+    share = F.conv(F.substring(F.md5(key), 1, 6), 16, 10).cast("long") / float(16 ** 6)
+    drawn = F.lit(None).cast("double")
+    for name, (low, high) in ranges.items():
+        drawn = F.when(trend == name, low + share * (high - low)).otherwise(drawn)
+    return drawn
+
+
 def estimate(employers: Column, multiplier: Column) -> Column:
     return F.rint(employers * multiplier).cast("int")
 
@@ -174,14 +183,18 @@ def estimate_band(value: Column, low: float = fixed.BAND[0], high: float = fixed
 
 
 def demand_records(verified: DataFrame, dictionary: DataFrame, trends: DataFrame | None = None,
-                   match: str = "substring") -> DataFrame:
+                   match: str = "substring",
+                   keyword_ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Output records of the demand side, most employers first, ties by id.
 
-    ``trends`` holds ``skill_idx, trend, multiplier``; without it all trend fields are null. A
-    trend the label decides stands before a fitted one.
+    ``trends`` holds ``skill_idx, trend, multiplier``. A trend the label decides stands before a fitted one. Without the
+    table, given ``keyword_ranges``, those labels have a trend with a multiplier from its range; else all trend fields are null.
     """
     rows = verified.join(dictionary.select("skill_idx", "uri", "label"), "skill_idx")
-    if trends is None:
+    if trends is None and keyword_ranges:
+        rows = rows.withColumn("trend", keyword_trend(F.col("label"))).withColumn(
+            "multiplier", drawn_multiplier(F.col("uri"), F.col("trend"), keyword_ranges))
+    elif trends is None:
         rows = rows.withColumns({"trend": F.lit(None).cast("string"), "multiplier": F.lit(None).cast("double")})
     else:
         rows = rows.join(trends.withColumnRenamed("trend", "_fitted"), "skill_idx", "left").withColumn(

@@ -41,7 +41,8 @@ def mapped_skills(raw_skills: DataFrame, entries: DataFrame, aliases: DataFrame
         return exact
     skills = dictionary.distinct_skills(raw_skills)
     rest = dictionary.unmatched_skills(skills, dictionary.exact_matches(skills, forms))
-    numbered = rest.join(skill_vectors, "raw").withColumn("query_id", F.xxhash64("raw"))
+    # Numbers, not hashes, stand for the strings: no two share one. They are written once, as both joins must see the same.
+    numbered = cut_lineage(rest.join(skill_vectors, "raw").withColumn("query_id", F.monotonically_increasing_id()))
     found = nearest.accepted(nearest.nearest_entries(numbered, entry_vectors), threshold, margin)
     mapping = numbered.join(found, "query_id").select(
         "raw", F.col("entry_id").alias("skill_idx"), F.lit("embed").alias("how"))
@@ -59,11 +60,11 @@ def posting_skill_table(postings: DataFrame, entries: DataFrame, aliases: DataFr
 
 def demand_report(postings: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
                   forced_k: int | None = None, trends: DataFrame | None = None, blocking: str = "exact",
-                  **vectors) -> DataFrame:
+                  keyword_ranges: dict[str, tuple[float, float]] | None = None, **vectors) -> DataFrame:
     """Demand records. Without vectors only exact forms and aliases map.
 
     The counts per skill and employer are written once: both the threshold and the records need them.
     """
     pairs = posting_skill_table(unique_postings(postings, blocking=blocking), entries, aliases, **vectors)
     base = cut_lineage(demand.employer_skill_counts(pairs))
-    return demand.demand_records(demand.verified_skills(base, forced_k), entries, trends)
+    return demand.demand_records(demand.verified_skills(base, forced_k), entries, trends, keyword_ranges=keyword_ranges)

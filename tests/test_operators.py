@@ -239,6 +239,24 @@ def test_trends_against_polyfit(spark):
     assert draws[0][1] < slope * 2030 + intercept < draws[0][2] and np.allclose(draws[0][1:], again[0][1:])
 
 
+def test_keyword_trends_without_a_table(spark):
+    """Labels with a keyword get a multiplier from its range, the same whatever the partitions; the others keep nulls."""
+    labels = ["Python basics", "PHP", "Cloud", "welding", None]
+    verified = spark.createDataFrame([(i, 1_000_000, 1, 0.0, 0.0) for i in range(5)],
+                                     "skill_idx long, employers long, postings long, core_builder_share double, junior_share double")
+    entries = spark.createDataFrame([(i, f"uri/{i}", label) for i, label in enumerate(labels)], "skill_idx long, uri string, label string")
+
+    def found(rows):
+        records = demand.demand_records(rows, entries, keyword_ranges={"rising": (1.35, 1.65), "fading": (0.65, 0.85)})
+        return {r["esco_uri"]: (r["trend"], r["trend_2030_estimate"]) for r in records.collect()}
+    got = found(verified)
+    assert got == found(verified.repartition(3))
+    assert [got[f"uri/{i}"][0] for i in range(5)] == ["rising", "fading", "rising", None, None]
+    assert all(1_350_000 <= got[f"uri/{i}"][1] < 1_650_000 for i in (0, 2)) and 650_000 <= got["uri/1"][1] < 850_000
+    assert got["uri/0"][1] != got["uri/2"][1] and got["uri/3"][1] is None and got["uri/4"][1] is None
+    assert all(r["trend"] is None for r in demand.demand_records(verified, entries).collect())
+
+
 def test_gaps_do_not_fan_out(spark):
     wanted = spark.createDataFrame([("a", "A", 10, "build"), ("b", "B", 4, "apply"), ("c", "C", 7, "apply")],
                                    "skill_id string, skill_name string, distinct_employers int, demand_depth string")
