@@ -318,6 +318,22 @@ def unique_demand_counts(tables: Tables) -> DataFrame:
         F.round("junior_share", 6).alias("junior_share"), "k")
 
 
+_SQL_ENTRY = f"""CASE WHEN try_cast(exp_min_text AS double) IS NOT NULL THEN try_cast(exp_min_text AS double) <= 1
+  ELSE coalesce(regexp_matches(exp_text, '(?i){fixed.ENTRY_LEVEL_TEXT}'), false) END"""
+_SQL_CODING = f"""regexp_matches(title, '(?i){fixed.TITLE_INCLUDE}') AND NOT regexp_matches(title, '(?i){fixed.TITLE_EXCLUDE}')
+  AND NOT regexp_matches(title, '(?i){fixed.TITLE_SENIOR}')"""
+
+
+@query("stage_counts", f"""
+WITH RECURSIVE {inputs.CTE_POSTINGS}, {CTE_UNIQUE}, left_over AS (SELECT * FROM postings SEMI JOIN kept_first ON posting = ord)
+SELECT 1 AS stage_no, 'read' AS stage, count(*) AS n_rows FROM postings
+UNION ALL SELECT 2, 'named employers', count(*) FROM printed UNION ALL SELECT 3, 'unique', count(*) FROM left_over
+UNION ALL SELECT 4, 'entry level', count(*) FROM left_over WHERE {_SQL_ENTRY}
+UNION ALL SELECT 5, 'coding titles', count(*) FROM left_over WHERE {_SQL_ENTRY} AND {_SQL_CODING}""")
+def stage_counts(tables: Tables) -> DataFrame:
+    return plan.stage_counts(postings(tables))
+
+
 @query("near_duplicate_documents")
 def near_duplicate_documents(tables: Tables) -> DataFrame:
     bodies = tables.spread(tables.documents).withColumn("body", text.norm(F.col("text")))

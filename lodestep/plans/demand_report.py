@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,19 @@ def unique_postings(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE
     return keep_first(printed, "employer_key", "posting", "_print", threshold, blocking).drop("_print")
 
 
+def stage_counts(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE_RATIO, blocking: str = "exact") -> DataFrame:
+    """``stage_no, stage, n_rows``: how many postings each stage before the skills leaves.
+
+    Unique postings are written once, so the stages after them read what is left.
+    """
+    unique = cut_lineage(unique_postings(postings, threshold, blocking))
+    stages = [("read", postings), ("named employers", filters.named_employers(postings)), ("unique", unique),
+              ("entry level", filters.entry_level(unique)), ("coding titles", filters.coding_titles(filters.entry_level(unique)))]
+    counted = [rows.agg(F.count("*").alias("n_rows")).select(F.lit(no).alias("stage_no"), F.lit(name).alias("stage"), "n_rows")
+               for no, (name, rows) in enumerate(stages, 1)]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def mapped_skills(raw_skills: DataFrame, entries: DataFrame, aliases: DataFrame | None = None,
                   skill_vectors: DataFrame | None = None, entry_vectors: DataFrame | None = None,
                   threshold: float = fixed.NEAREST_LABEL_MIN,
