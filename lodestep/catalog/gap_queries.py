@@ -228,14 +228,15 @@ def event_snapshots(tables: Tables) -> DataFrame:
 SELECT CAST(date_trunc('week', ts) AS date) AS period, event_type AS skill_idx, count(DISTINCT user_id) AS employers, count(*) AS postings
 FROM events GROUP BY 1, 2""")
 def streamed_snapshots(tables: Tables) -> DataFrame:
-    """The events as a stream of four files, drained in as many micro-batches with the state kept between them."""
+    """The events as a stream of files, one per core for each of four micro-batches, with the state kept between them."""
     spark = tables.spark
+    at_once = spark.sparkContext.defaultParallelism
     arriving, store, progress = (new_folder(spark, name) for name in ("arriving", "snapshots", "progress"))
-    tables.events.repartition(4, "event_id").write.parquet(arriving)
+    tables.events.repartition(4 * at_once, "event_id").write.parquet(arriving)
     before = spark.conf.get(streamed.STATE_STORE[0], None)
     spark.conf.set(*streamed.STATE_STORE)
     try:
-        rows = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+        rows = spark.readStream.schema(tables.events.schema).option("maxFilesPerTrigger", at_once).parquet(arriving)
         named = rows.select(F.col("ts").alias("posted_at"), F.col("event_type").alias("skill_idx"),
                             F.col("user_id").alias("employer"), F.col("event_id").alias("posting"))
         drained = streamed.file_snapshots(named, store, progress, "week").trigger(availableNow=True).start()

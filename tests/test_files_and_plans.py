@@ -176,6 +176,14 @@ def test_file_stream_equals_batch(spark, tmp_path):
     assert spark.table("live").count() > 0
 
 
+def test_stream_state_is_kept_without_python(spark):
+    """One call of Python per key made the state many times slower than the rows it counts."""
+    stream = spark.readStream.format("rate").load().selectExpr(
+        "timestamp AS posted_at", "value % 4 AS skill_idx", "cast(value % 5 AS string) AS employer", "value AS posting")
+    plan = snapshots.snapshot_changes(stream)._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "Pandas" not in plan and "Python" not in plan
+
+
 @pytest.mark.parametrize("master, named, warehouse, folder", [
     ("local[8]", None, "file:/here/warehouse", "file:/here/warehouse/lodestep-checkpoints"),
     ("spark://host:7077", "file:/shared", "file:/here/warehouse", "file:/shared"),
