@@ -11,7 +11,17 @@ from lodestep.functions import fixed_values as fixed
 from lodestep.functions.text import fingerprint
 from lodestep.operators import demand, dictionary, filters, nearest
 from lodestep.operators.near_duplicates import keep_first
-from lodestep.session import cut_lineage
+from lodestep.session import cut_lineage, stored
+
+
+def printed_postings(postings: DataFrame) -> DataFrame:
+    """Postings of named employers with their fingerprint ``_print``, written once, as the removal of near-duplicates reads them several times."""
+    printed = fingerprint(F.col("title"), F.col("skills"), F.col("description"))
+    return stored(filters.named_employers(postings).withColumn("_print", printed), "postings")
+
+
+def unique_printed(printed: DataFrame, threshold: float = fixed.NEAR_DUPLICATE_RATIO, blocking: str = "exact") -> DataFrame:
+    return keep_first(printed, "employer_key", "posting", "_print", threshold, blocking).drop("_print")
 
 
 def unique_postings(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE_RATIO,
@@ -21,18 +31,17 @@ def unique_postings(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE
     This comes before the experience and title filters: a posting they would drop still counts as
     the first copy.
     """
-    named = filters.named_employers(postings)
-    printed = named.withColumn("_print", fingerprint(F.col("title"), F.col("skills"), F.col("description")))
-    return keep_first(printed, "employer_key", "posting", "_print", threshold, blocking).drop("_print")
+    return unique_printed(printed_postings(postings), threshold, blocking)
 
 
 def stage_counts(postings: DataFrame, threshold: float = fixed.NEAR_DUPLICATE_RATIO, blocking: str = "exact") -> DataFrame:
     """``stage_no, stage, n_rows``: how many postings each stage before the skills leaves.
 
-    Unique postings are written once, so the stages after them read what is left.
+    Named and unique postings are written once, so the stages after them read what is left.
     """
-    unique = cut_lineage(unique_postings(postings, threshold, blocking))
-    stages = [("read", postings), ("named employers", filters.named_employers(postings)), ("unique", unique),
+    printed = printed_postings(postings)
+    unique = stored(unique_printed(printed, threshold, blocking), "unique")
+    stages = [("read", postings), ("named employers", printed), ("unique", unique),
               ("entry level", filters.entry_level(unique)), ("coding titles", filters.coding_titles(filters.entry_level(unique)))]
     counted = [rows.agg(F.count("*").alias("n_rows")).select(F.lit(no).alias("stage_no"), F.lit(name).alias("stage"), "n_rows")
                for no, (name, rows) in enumerate(stages, 1)]

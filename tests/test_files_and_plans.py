@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestep.operators import dictionary
 from lodestep.operators.trend import usage_series
-from lodestep.plans.demand_report import demand_report
+from lodestep.plans.demand_report import demand_report, unique_postings
 from lodestep.plans.supply_report import supply_report
 from lodestep.session import checkpoint_folder
 from lodestep.sources import csv_files, sinks, syllabus_tables
@@ -184,6 +184,21 @@ def test_stream_state_is_kept_without_python(spark):
     assert "Deduplicate" in plan and "Pandas" not in plan and "Python" not in plan
 
 
+def test_postings_are_derived_once(spark):
+    """The removal of near-duplicates reads postings several times; each reading derived them anew."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    made = spark.createDataFrame([(i, f"Firm {i % 2}", "Coder", f"python, sql {i}", "d") for i in range(6)],
+                                 "posting long, employer string, title string, skills string, description string")
+    unique = unique_postings(made.mapInPandas(counted, made.schema))
+    assert unique.count() == 2 and seen.value == 6   # a changed digit is no other posting
+
+
 @pytest.mark.parametrize("master, named, warehouse, folder", [
     ("local[8]", None, "file:/here/warehouse", "file:/here/warehouse/lodestep-checkpoints"),
     ("spark://host:7077", "file:/shared", "file:/here/warehouse", "file:/shared"),
