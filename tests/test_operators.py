@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestep.functions import fixed_values as fixed
-from lodestep.operators import chunks, demand, dictionary, filters, gap, nearest, rollup, trend
+from lodestep.functions.taxonomy import Entry
+from lodestep.operators import chunks, demand, dictionary, filters, gap, nearest, rollup, tagging, trend
 from lodestep.operators.carry import carry_forward
 from lodestep.operators.ordered import in_ranges, numbered
 
@@ -286,3 +287,20 @@ def test_sketches_merge_over_months_within_the_error(spark):
         skill: row["employers"] for skill, row in merged.items()}
     by_month = {(r["month"], r["skill_idx"]): r["employers"] for r in demand.merged_sketch_counts(monthly, "month").collect()}
     assert len(by_month) == monthly.count()
+
+
+def test_word_runs_of_odd_texts(spark, values):
+    texts = ["a, b c", " #x\U0001d51e+y  z", "", None, "\u00e9\u0301 a a"]
+    assert [sorted(found) for found in values(lambda text: tagging.word_runs(text, 2), texts)] == [
+        sorted(found) for found in (["a", "b", "c", "a, b", "b c"], ["#x\U0001d51e+y", "z", "#x\U0001d51e+y  z"], [], [],
+                                    ["\u00e9\u0301", "a", "\u00e9\u0301 a", "a a"])]
+
+
+def test_runs_meet_a_small_index_where_they_are_cut(spark):
+    """All runs of all texts were shuffled and sorted to meet a few aliases."""
+    texts = spark.createDataFrame([("k", 0, "the cat of the house")], "key string, unit_no int, low string").repartition(4)
+    table = tagging.taxonomy_table(spark, [Entry("c", "Cat", "", ["cat", "of the"])])
+    named = tagging.named_entries(texts, table)
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in named.collect()] == [("k", 0, 0)]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
