@@ -12,21 +12,25 @@ from pyspark.sql import functions as F
 from lodestep.operators.ordered import in_ranges
 
 
-def carry_forward(rows: DataFrame, doc: str, order: list[str], values: dict[str, Column]) -> DataFrame:
-    """Add each of ``values`` under its name: the last non-null one up to and with the row, in any ``order``."""
-    marked = in_ranges(rows.withColumns({f"_v_{name}": value for name, value in values.items()}), doc, *order)
+def carry_forward(rows: DataFrame, doc: str, order: list[str], values: dict[str, Column],
+                  first: dict[str, Column] | None = None) -> DataFrame:
+    """Add each of ``values`` under its name: the last non-null one up to and with the row, in any ``order``.
+
+    ``first`` are columns to add before, that ``values`` may use.
+    """
+    marked = in_ranges(rows, doc, *order, values={**(first or {}), **{f"_v_{name}": value for name, value in values.items()}})
     place = F.struct(*order)
     ends = marked.groupBy(doc, "_range").agg(*[
         F.max_by(f"_v_{name}", F.when(F.col(f"_v_{name}").isNotNull(), place)).alias(f"_end_{name}")
         for name in values
     ])
     before = Window.partitionBy(doc).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    handed = ends.select(F.col(doc).alias("_doc"), F.col("_range").alias("_at"), *[
-        F.last(f"_end_{name}", ignorenulls=True).over(before).alias(f"_in_{name}") for name in values
+    # What a range is handed stands before its rows, so they are dealt out and sorted once, and join nothing.
+    handed = ends.select(doc, "_range", F.lit(True).alias("_handed"), *[
+        F.last(f"_end_{name}", ignorenulls=True).over(before).alias(f"_v_{name}") for name in values
     ])
-    inside = Window.partitionBy(doc, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    carried = marked.join(handed, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_range") == F.col("_at"))).withColumns({
-        name: F.coalesce(F.last(f"_v_{name}", ignorenulls=True).over(inside), f"_in_{name}")
-        for name in values
+    inside = Window.partitionBy(doc, "_range").orderBy(F.col("_handed").desc(), *order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = marked.withColumn("_handed", F.lit(False)).unionByName(handed, allowMissingColumns=True).withColumns({
+        name: F.last(f"_v_{name}", ignorenulls=True).over(inside) for name in values
     })
-    return carried.drop("_range", "_doc", "_at", *[f"{part}{name}" for part in ("_v_", "_in_") for name in values])
+    return carried.filter("not _handed").drop("_range", "_handed", *[f"_v_{name}" for name in values])

@@ -44,10 +44,9 @@ def table_chunks(rows: DataFrame, topic_pattern: str = fixed.HEADER_TOPIC,
 
     The last header, on whatever page or table, rules the rows after it that have its width.
     """
-    cleaned = rows.filter(F.size("cells") > 0).withColumn("cells", cleaned_cells(F.col("cells")))
-    headed = cleaned.withColumn("_header", detected_header(F.col("cells"), topic_pattern, hours_pattern))
-    ruled = carry_forward(headed, "doc", ["page_no", "table_no", "row_no"], {"h": F.col("_header")})
     cells = F.col("cells")
+    ruled = carry_forward(rows.filter(F.size("cells") > 0), "doc", ["page_no", "table_no", "row_no"], {"h": F.col("_header")}, {
+        "cells": cleaned_cells(cells), "_header": detected_header(cells, topic_pattern, hours_pattern)})
 
     def cell(role: str) -> Column:
         return F.get(cells, F.col(f"h.{role}"))

@@ -6,19 +6,23 @@ ranges. Only one small row per key and range ever meets the others of its key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestep.session import cut_lineage
 
 
-def in_ranges(rows: DataFrame, *order: str, name: str = "_range") -> DataFrame:
+def in_ranges(rows: DataFrame, *order: str, name: str = "_range", values: dict[str, Column] | None = None) -> DataFrame:
     """``rows`` dealt out by ranges of ``order`` with the number of their range; numbers ascend with the order.
 
-    The numbers are stored, so a task that runs again changes nothing. Equal rows share a range.
+    The numbers are stored, so a task that runs again changes nothing. Equal rows share a range. To find the ranges Spark
+    runs the plan of ``rows`` once more; costly columns belong into ``values``, which are added one after the other to dealt rows.
     """
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(rows.repartitionByRange(width, *order).withColumn(name, F.spark_partition_id()))
+    dealt = rows.repartitionByRange(width, *order).withColumn(name, F.spark_partition_id())
+    for column, value in (values or {}).items():
+        dealt = dealt.withColumn(column, value)
+    return cut_lineage(dealt)
 
 
 def numbered(rows: DataFrame, key: str, *order: str, name: str = "place") -> DataFrame:
