@@ -1,7 +1,7 @@
 """Evidence rows rolled up per skill.
 
-A skill may own a third of all evidence, so everything here is a partial aggregate or a bounded
-top list; no per-skill list of unbounded length is collected.
+A skill may own a third of all evidence, so everything here is a partial aggregate, a bounded top list or a list in numbered
+parts; only a record's own list of sources is as long as the skill has sources.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.depth import depth_of_rank, depth_rank
 from lodestep.operators.ordered import numbered
-from lodestep.session import cut_lineage
+from lodestep.session import stored
 
 SOURCES_PER_PART = 10_000
 
@@ -59,15 +59,21 @@ def skill_summary(evidence: DataFrame) -> DataFrame:
     )
 
 
-def supply_records(evidence: DataFrame, part_size: int = SOURCES_PER_PART) -> DataFrame:
+def supply_records(evidence: DataFrame, part_size: int | None = None) -> DataFrame:
     """Output records of the supply side, by category and name.
 
-    ``sources`` is the first part of a skill's list, the whole list for all skills of up to ``part_size`` sources; ``n_parts`` tells
-    how many there are, :func:`source_parts` has them all. ``n_sources`` is exact.
+    ``sources`` is the whole list of a skill, put together from its numbered parts, so only the record itself holds all of it;
+    ``n_parts`` is 1 then. With a ``part_size`` it is the first part of the list, ``n_parts`` tells how many there are, and
+    :func:`source_parts` has them all. ``n_sources`` is exact.
     """
-    parts = cut_lineage(source_parts(evidence, part_size))
+    parts = stored(source_parts(evidence, part_size or SOURCES_PER_PART), "source-parts", "zstd")
     counts = parts.groupBy("skill_id").agg(F.sum(F.size("sources")).alias("n_sources"), F.count("*").alias("n_parts"))
-    lists = parts.filter("part_no = 0").select("skill_id", "sources")
+    if part_size is None:
+        in_order = F.array_sort(F.collect_list(F.struct("part_no", "sources")))
+        lists = parts.groupBy("skill_id").agg(F.flatten(F.transform(in_order, lambda x: x["sources"])).alias("sources"))
+        counts = counts.withColumn("n_parts", F.lit(1).cast("long"))
+    else:
+        lists = parts.filter("part_no = 0").select("skill_id", "sources")
     return (
         skill_summary(evidence)
         .join(counts, "skill_id").join(lists, "skill_id").join(first_fragments(evidence), "skill_id")

@@ -161,6 +161,17 @@ def test_sources_of_any_length(spark):
     assert parts[0] + parts[1] + parts[2] == [f"doc{i}" for i in reversed(range(25_000))]
 
 
+def test_records_list_all_sources(spark):
+    """More sources than one part holds: the record has them all, in order of first mention."""
+    evidence = spark.range(23_000).select(
+        F.lit("s").alias("skill_id"), F.lit("S").alias("skill_name"), F.lit("c").alias("category"), F.lit(0.95).alias("confidence"),
+        F.lit("alias").alias("match_type"), F.lit("f").alias("fragment"), F.lit("use").alias("verb"), F.lit("apply").alias("depth"),
+        F.lit(None).cast("string").alias("unit"), F.lit(1).alias("hours"), F.concat(F.lit("doc"), F.col("id")).alias("source"),
+        (F.lit(23_000) - F.col("id")).alias("ord"))
+    record = rollup.supply_records(evidence.union(evidence)).first()
+    assert record["sources"] == [f"doc{i}" for i in reversed(range(23_000))] and (record["n_sources"], record["n_parts"]) == (23_000, 1)
+
+
 def test_table_rows(spark):
     rows = [["Unit", "Topics", "CO-BT", "Hours"], ["I", "Linked lists", "CO1-BT2", "3"], ["I", "Queues", "CO1-BT2", "0"],
             ["x", "y"], ["I", "ab", "", ""], ["Sr", "Experiment Name", "l"], ["1", "Implement BFS", ""], [], ["2", None, "1"]]
