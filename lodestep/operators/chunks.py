@@ -15,6 +15,7 @@ from lodestep.functions.syllabus import (
 )
 from lodestep.functions.text import ignore_case, lines_of, matches, strip
 from lodestep.operators.carry import carry_forward
+from lodestep.session import stored
 
 _CHUNK = ["doc", "page_no", "part_no", "row_no", "raw", "bt", "unit", "hours", "kind"]
 
@@ -110,8 +111,9 @@ def cascaded_chunks(docs: DataFrame, tables: DataFrame, lines: DataFrame, extern
         counts = counts.withColumn("_e", F.lit(0))
     else:
         counts = counts.join(counted(external, "_e"), "doc", "left")
-    choice = counts.select("doc", F.when(F.col("_t") >= min_topics, "table").when(F.col("_l") >= min_topics, "line")
-                           .when(F.col("_e") > 0, "external").otherwise("line").alias("origin"))
+    # Of a known size, so where documents are few the chunks stay where they are.
+    choice = stored(counts.select("doc", F.when(F.col("_t") >= min_topics, "table").when(F.col("_l") >= min_topics, "line")
+                                  .when(F.col("_e") > 0, "external").otherwise("line").alias("origin")), "choice")
 
     def branch(chunks: DataFrame, name: str) -> DataFrame:
         return chunks.select(*_CHUNK).join(choice.filter(F.col("origin") == name), "doc")

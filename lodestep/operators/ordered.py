@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestep.session import cut_lineage
+from lodestep.session import stored
 
 
 def in_ranges(rows: DataFrame, *order: str, name: str = "_range", values: dict[str, Column] | None = None) -> DataFrame:
@@ -22,7 +22,7 @@ def in_ranges(rows: DataFrame, *order: str, name: str = "_range", values: dict[s
     dealt = rows.repartitionByRange(width, *order).withColumn(name, F.spark_partition_id())
     for column, value in (values or {}).items():
         dealt = dealt.withColumn(column, value)
-    return cut_lineage(dealt)
+    return stored(dealt, "ranges", "zstd")
 
 
 def numbered(rows: DataFrame, key: str, *order: str, name: str = "place") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestep.functions import fixed_values as fixed
 from lodestep.functions.taxonomy import TAXONOMY, Entry, kept_entries
 from lodestep.operators import chunks, dictionary, rollup, tagging
-from lodestep.session import cut_lineage
+from lodestep.session import stored
 
 
 def syllabus_chunks(pages: DataFrame, table_rows: DataFrame, external: DataFrame | None = None) -> DataFrame:
@@ -17,8 +17,8 @@ def syllabus_chunks(pages: DataFrame, table_rows: DataFrame, external: DataFrame
     Both kinds of chunks are written once, as the cascade counts them before it picks.
     """
     core = chunks.core_courses(pages)
-    tables = cut_lineage(chunks.table_chunks(table_rows.join(core, "doc", "left_semi")))
-    lines = cut_lineage(chunks.line_chunks(pages.join(core, "doc", "left_semi")))
+    tables = stored(chunks.table_chunks(table_rows.join(core, "doc", "left_semi")), "tables", "zstd")
+    lines = stored(chunks.line_chunks(pages.join(core, "doc", "left_semi")), "lines", "zstd")
     return placed(chunks.cascaded_chunks(core, tables, lines, external))
 
 
@@ -60,6 +60,6 @@ def supply_report(pages: DataFrame, table_rows: DataFrame, entries: DataFrame |
     """
     taxonomy = kept_entries(taxonomy)
     topics = syllabus_chunks(pages, table_rows, external)
-    evidence = cut_lineage(topic_evidence(topics, vectors, entry_vectors, taxonomy))
+    evidence = stored(topic_evidence(topics, vectors, entry_vectors, taxonomy), "evidence", "zstd")
     records = rollup.supply_records(evidence)
     return records if entries is None else linked_supply(records, entries, taxonomy)

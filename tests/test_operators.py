@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -153,6 +154,19 @@ def test_numbers_over_ranges(spark):
         assert [got[key, o] for o in sorted(o for k, o in rows if k == key)] == list(range(1, sum(k == key for k, _ in rows) + 1))
 
 
+def test_ranges_take_little_disk(spark):
+    """What lies between the steps is compressed: rows that repeat long values take far less room than the values."""
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def size():
+        return sum(os.path.getsize(os.path.join(path, name)) for path, _, names in os.walk(root) for name in names)
+
+    rows = spark.range(50_000).select(F.lit("d").alias("doc"), "id", F.repeat(F.sha2((F.col("id") % 50).cast("string"), 256), 4).alias("v"))
+    before = size()
+    assert carry_forward(rows, "doc", ["id"], {"last": F.col("v")}).filter("last = v").count() == 50_000
+    assert size() - before < 2_000_000
+
+
 def test_sources_of_any_length(spark):
     evidence = spark.range(25_000).select(F.lit("s").alias("skill_id"), F.concat(F.lit("doc"), F.col("id")).alias("source"),
                                           (F.lit(25_000) - F.col("id")).alias("ord"))
