@@ -303,6 +303,48 @@ def test_passages(spark, data, docs_of):
     assert all(row["original_id"] == 1 for row in rows)
 
 
+def test_passages_are_whole(spark, docs_of):
+    """Every word of 50 and more in a row that an earlier document has too is in a span; words beside a paragraph stand so in an earlier one."""
+    rng, fresh = np.random.default_rng(3), iter(range(1_000_000))
+    passages_of = [[f"P{number}x{i}" for i in range(50 + 13 * number)] for number in range(6)]
+    texts = {}
+    for doc_id in range(30):
+        words = []
+        for number in rng.integers(0, 6, 3):
+            cut = rng.integers(0, 8) if rng.random() < 0.3 else 0
+            words += [f"n{next(fresh)}" for _ in range(rng.integers(0, 45))] + passages_of[number][cut:]
+        texts[doc_id] = words
+    docs = docs_of([(doc_id, " ".join(words), None, None) for doc_id, words in texts.items()] + [(31, "and so on " * 40, None, None)])
+    covered, grown = defaultdict(set), 0
+    for row in passages.repeated_passages(docs.repartition(3)).collect():
+        doc_id, first, n = row["doc_id"], row["first_word"], row["n_words"]
+        if row["doc_id"] != row["original_id"]:
+            span = texts[doc_id][first:first + n]
+            assert len(span) == n >= 20
+            covered[doc_id] |= set(range(first, first + n))
+            earlier = " | ".join(" ".join(texts[other]) for other in range(doc_id))
+            stands = {i + k for i in range(n - 19) if f" {' '.join(span[i:i + 20])} " in f" {earlier} " for k in range(20)}
+            assert n == 20 or stands == set(range(n))
+            grown += n > 20
+    windows = {}
+    for doc_id, words in texts.items():
+        own = [tuple(words[i:i + 50]) for i in range(len(words) - 49)]
+        wanted = {i + k for i, window in enumerate(own) if windows.get(window, doc_id) < doc_id for k in range(50)}
+        assert wanted <= covered[doc_id], doc_id
+        for window in own:
+            windows.setdefault(window, doc_id)
+    assert grown
+
+
+def test_passages_beside_repeats(spark, docs_of):
+    """A start whose paragraph repeats itself gives way to one beside it."""
+    texts = []
+    for number in range(40):
+        texts.append(" ".join([f"u{number}x{i}" for i in range(30)] + ["la", "li"] * 30))
+    found = {row["doc_id"] for row in passages.paragraphs(docs_of([(i, text, None, None) for i, text in enumerate(texts)])).collect()}
+    assert found == set(range(40))
+
+
 def test_passages_chains(spark, docs_of):
     """Edited copies of one passage whose ends differ, all in one group: most are linked to others by way of a few only."""
     core = " ".join(f"c{i}" for i in range(16))
