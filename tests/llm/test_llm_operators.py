@@ -336,6 +336,13 @@ def test_passages_are_whole(spark, docs_of):
     assert grown
 
 
+def test_spans_of_repeated_rows_come_once(spark, docs_of):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"a b c {passage} d", None, None), (2, f"x y {passage} z", None, None)]
+    once, twice = (sorted(map(tuple, passages.repeated_passages(docs_of(some)).collect())) for some in (rows, rows + rows))
+    assert once == twice and any(row[0] == 2 and row[2] > 20 for row in once)
+
+
 def test_passages_beside_repeats(spark, docs_of):
     """A start whose paragraph repeats itself gives way to one beside it."""
     texts = []
